@@ -184,3 +184,323 @@ oracle(
 )
 oracle("dws_champion_day", "SELECT * FROM dws")
 oracle("ads_champion_day_metrics", "SELECT * FROM ads")
+
+# --- scans / sources --------------------------------------------------------
+
+_SCAN = """SELECT match_id, ingest_date, k AS game_id, version AS game_version,
+       n_participants AS participant_count FROM mx"""
+oracle("scan_documents", _SCAN)
+oracle("scan_one_ingest_date", _SCAN + " WHERE ingest_date = '2026-08-16'")
+oracle("source_ingest_date", "SELECT match_id, ingest_date AS source_ingest_date FROM mx")
+oracle(
+    "ods_raw",
+    """SELECT match_id, ingest_date,
+              CASE WHEN has_bot THEN 1 ELSE 0 END AS is_bot_match,
+              CASE WHEN has_early THEN 1 ELSE 0 END AS is_early_surrender
+       FROM mx""",
+)
+oracle(
+    "layer_row_counts",
+    """SELECT 'dwd_match' AS layer, count(*) AS cnt FROM m
+       UNION ALL SELECT 'dwd_player_match', count(*) FROM p
+       UNION ALL SELECT 'dws_champion_day', count(*) FROM dws
+       UNION ALL SELECT 'ads_champion_day_metrics', count(*) FROM ads""",
+)
+
+# --- projections / expressions ---------------------------------------------
+
+_PREVIEW = [
+    "match_id", "participant_id", "champion_name", "team_position", "kills", "deaths",
+    "assists", "gold_earned", "win", "is_bot_player", "dt",
+]
+oracle(
+    "player_match_preview",
+    f"SELECT {', '.join(_PREVIEW)} FROM p ORDER BY "
+    + ", ".join(f"{c} ASC NULLS FIRST" for c in _PREVIEW)
+    + " LIMIT 30",
+)
+oracle("json_path_extract", "SELECT * FROM m")
+oracle(
+    "epoch_to_dt",
+    """SELECT mx.match_id, mx.start_ms // 1000 AS start_s, m.game_start_time, m.game_end_time, m.dt
+       FROM mx JOIN m ON mx.match_id = m.match_id""",
+)
+oracle("patch_version", "SELECT match_id, version AS game_version, patch_version FROM mx")
+oracle(
+    "patch_by_split",
+    """SELECT match_id, version AS game_version,
+              CASE WHEN version IS NOT NULL AND version <> ''
+                        AND len(string_split(version, '.')) >= 2
+                   THEN split_part(version, '.', 1) || '.' || split_part(version, '.', 2)
+              END AS patch
+       FROM mx""",
+)
+oracle("is_bot_match", "SELECT match_id, CASE WHEN has_bot THEN 1 ELSE 0 END AS is_bot_match FROM mx")
+oracle(
+    "is_early_surrender",
+    "SELECT match_id, CASE WHEN has_early THEN 1 ELSE 0 END AS is_early_surrender FROM mx",
+)
+oracle("player_flags", "SELECT match_id, participant_id, is_bot_player, is_early_surrender FROM p")
+oracle("participant_count", "SELECT match_id, n_participants AS participant_count FROM mx")
+oracle("explode_participants", "SELECT match_id, participant_id, puuid, champion_id FROM p")
+oracle("kda_ratio", "SELECT dt, patch_version, queue_id, champion_id, kda_ratio FROM ads")
+oracle("human_players", "SELECT match_id, puuid FROM p WHERE puuid IS NOT NULL AND puuid <> '' AND puuid <> 'BOT'")
+
+
+def _document_keys_sql() -> str:
+    from matchmart.schema import INFO_FIELDS, PARTICIPANT_FIELDS
+
+    rows = [("document", "metadata", "true"), ("document", "info", "true")]
+    for name, _ in INFO_FIELDS:
+        cond = "EXISTS (SELECT 1 FROM mx WHERE version IS NOT NULL)" if name == "gameVersion" else "true"
+        rows.append(("info", name, cond))
+    rows.append(("info", "participants", "EXISTS (SELECT 1 FROM mx WHERE n_participants IS NOT NULL)"))
+    rows.append(("info", "teams", "true"))
+    for name, _ in PARTICIPANT_FIELDS:
+        rows.append(("participant", name, "EXISTS (SELECT 1 FROM p)"))
+    parts = [f"SELECT '{s}' AS scope, '{k}' AS key WHERE {c}" for s, k, c in rows]
+    return " UNION ALL ".join(parts)
+
+
+oracle("document_keys", _document_keys_sql())
+oracle(
+    "match_basic_info",
+    """SELECT match_id, k AS game_id, start_ms AS game_creation, start_ms AS game_start_timestamp,
+              start_ms + duration * 1000 AS game_end_timestamp, duration AS game_duration,
+              o_orderpriority AS game_mode, o_orderstatus AS game_type, version AS game_version,
+              map_id, 'P' || CAST(o_custkey % 4 AS VARCHAR) AS platform_id, queue_id,
+              n_participants AS participant_count
+       FROM mx""",
+)
+oracle(
+    "participant_identity",
+    """SELECT match_id, participant_id, puuid, 'player' || CAST(_supp AS VARCHAR) AS riot_id_game_name,
+              'EUW' AS riot_id_tagline, team_id, champion_id, champion_name, kills, deaths, assists, win
+       FROM p""",
+)
+oracle(
+    "team_rows",
+    """SELECT match_id, 100 AS team_id, k % 2 = 0 AS win FROM mx
+       UNION ALL SELECT match_id, 200 AS team_id, k % 2 = 1 AS win FROM mx""",
+)
+oracle(
+    "ads_slice",
+    "SELECT * FROM ads WHERE queue_id = 420 AND dt >= '1996-01-01' AND dt <= '1997-12-31'",
+)
+
+# --- quality ----------------------------------------------------------------
+
+
+def _zero_rule(rid: str, name: str, count_sql: str) -> str:
+    return (
+        f"SELECT '{rid}' AS rule_id, '{name}' AS rule_name, "
+        "CASE WHEN c = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+        "CAST(c AS VARCHAR) AS actual_value, '0' AS expected_value "
+        f"FROM ({count_sql}) t"
+    )
+
+
+_DQ = {
+    "dq01": _zero_rule(
+        "DQ01", "match_id uniqueness",
+        "SELECT count(*) AS c FROM (SELECT match_id FROM m GROUP BY match_id HAVING count(*) > 1)",
+    ),
+    "dq02": _zero_rule("DQ02", "match_id not null", "SELECT count(*) AS c FROM m WHERE match_id IS NULL"),
+    "dq03": _zero_rule(
+        "DQ03", "10 players per match",
+        "SELECT count(*) AS c FROM (SELECT match_id FROM p GROUP BY match_id HAVING count(*) <> 10)",
+    ),
+    "dq04": _zero_rule(
+        "DQ04", "player-match uniqueness",
+        "SELECT count(*) AS c FROM (SELECT match_id, participant_id FROM p "
+        "GROUP BY match_id, participant_id HAVING count(*) > 1)",
+    ),
+    "dq05": _zero_rule(
+        "DQ05", "match = win + loss",
+        "SELECT count(*) AS c FROM dws WHERE match_count <> win_count + loss_count",
+    ),
+    "dq06": _zero_rule(
+        "DQ06", "win_rate range",
+        "SELECT count(*) AS c FROM ads WHERE win_rate IS NULL OR win_rate < 0 OR win_rate > 1",
+    ),
+    "dq07": """SELECT 'DQ07' AS rule_id, 'DWS/ADS reconciliation' AS rule_name,
+                      CASE WHEN d.n = a.n THEN 'PASS' ELSE 'FAIL' END AS status,
+                      'DWS=' || CAST(d.n AS VARCHAR) || ', ADS=' || CAST(a.n AS VARCHAR) AS actual_value,
+                      'DWS count = ADS count' AS expected_value
+               FROM (SELECT count(*) AS n FROM dws) d, (SELECT count(*) AS n FROM ads) a""",
+}
+for _k, _sql in _DQ.items():
+    oracle(_k, _sql)
+_REPORT = " UNION ALL ".join(f"({s})" for s in _DQ.values())
+oracle("dq_report", _REPORT + " ORDER BY rule_id")
+oracle("dq_summary", f"SELECT status, count(*) AS n FROM ({_REPORT}) r GROUP BY status")
+oracle(
+    "fanout_reconciliation",
+    """SELECT count(*) AS documents,
+              CAST(sum(n_participants) AS BIGINT) AS expected_players,
+              CAST(sum(coalesce(n_participants, 0)) AS BIGINT) AS exploded_players,
+              CASE WHEN sum(n_participants) = sum(coalesce(n_participants, 0)) THEN 'PASS' ELSE 'FAIL' END AS status
+       FROM mx""",
+)
+oracle("expected_player_count", "SELECT CAST(sum(n_participants) AS BIGINT) AS expected_count FROM mx")
+
+# --- filters ----------------------------------------------------------------
+
+_VALID = "coalesce(n_participants, 0) = 10 AND NOT has_bot AND map_id = 11"
+oracle("valid_matches", f"SELECT match_id FROM mx WHERE {_VALID}")
+oracle("valid_matches_any_map", "SELECT match_id FROM mx WHERE coalesce(n_participants, 0) = 10 AND NOT has_bot")
+
+# --- profile ----------------------------------------------------------------
+
+oracle(
+    "profile_basic",
+    f"""SELECT count(*) AS json_files,
+               CAST(count(*) FILTER (WHERE match_id IS NOT NULL AND match_id <> '') AS BIGINT) AS parsed_matches,
+               CAST(0 AS BIGINT) AS parse_errors,
+               CAST(count(DISTINCT match_id) AS BIGINT) AS unique_match_ids,
+               CAST(count(*) FILTER (WHERE match_id IS NOT NULL AND match_id <> '') - count(DISTINCT match_id) AS BIGINT)
+                   AS duplicate_match_ids,
+               CAST(count(*) FILTER (WHERE {_VALID}) AS BIGINT) AS valid_pvp_matches,
+               CAST(count(*) FILTER (WHERE has_bot) AS BIGINT) AS bot_matches
+        FROM mx""",
+)
+oracle("freq_mode", "SELECT o_orderpriority AS game_mode, count(*) AS n FROM mx GROUP BY 1 ORDER BY n DESC, 1")
+oracle("freq_queue", "SELECT queue_id, count(*) AS n FROM mx GROUP BY 1 ORDER BY n DESC, 1")
+oracle("freq_map", "SELECT map_id, count(*) AS n FROM mx GROUP BY 1 ORDER BY n DESC, 1")
+oracle(
+    "freq_patch",
+    """SELECT split_part(version, '.', 1) || '.' || split_part(version, '.', 2) AS patch, count(*) AS n
+       FROM mx WHERE version IS NOT NULL AND version <> '' AND len(string_split(version, '.')) >= 2
+       GROUP BY 1 ORDER BY n DESC, 1""",
+)
+oracle(
+    "freq_participants",
+    "SELECT coalesce(n_participants, 0) AS participants, count(*) AS n FROM mx GROUP BY 1 ORDER BY 1",
+)
+oracle(
+    "profile_duration",
+    """SELECT CAST(min(duration) AS BIGINT) AS min_duration, CAST(max(duration) AS BIGINT) AS max_duration,
+              round(avg(CAST(duration AS DOUBLE)), 2) AS avg_duration,
+              round(median(CAST(duration AS DOUBLE)), 2) AS median_duration
+       FROM mx WHERE duration IS NOT NULL""",
+)
+
+
+def _iso(ms: str) -> str:
+    return (
+        f"strftime(epoch_ms({ms}), '%Y-%m-%dT%H:%M:%S') || "
+        f"CASE WHEN {ms} % 1000 = 0 THEN '' ELSE '.' || lpad(CAST(({ms} % 1000) * 1000 AS VARCHAR), 6, '0') END"
+        " || '+00:00'"
+    )
+
+
+oracle(
+    "profile_date_range",
+    f"""SELECT earliest_ms, latest_ms, {_iso('earliest_ms')} AS earliest_utc, {_iso('latest_ms')} AS latest_utc
+        FROM (SELECT min(start_ms) AS earliest_ms, max(start_ms) AS latest_ms FROM mx)""",
+)
+
+
+def _missing_sql() -> str:
+    from matchmart.schema import REQUIRED_MATCH_FIELDS
+
+    expr = {
+        "gameStartTimestamp": "start_ms",
+        "gameEndTimestamp": "start_ms + duration * 1000",
+        "gameDuration": "duration",
+        "gameMode": "o_orderpriority",
+        "gameType": "o_orderstatus",
+        "gameVersion": "version",
+        "mapId": "map_id",
+        "platformId": "o_custkey % 4",
+        "queueId": "queue_id",
+    }
+    parts = [
+        "SELECT 'metadata.matchId' AS field, count(*) FILTER (WHERE match_id IS NULL OR match_id = '') AS missing_count FROM mx"
+    ]
+    for f in REQUIRED_MATCH_FIELDS:
+        parts.append(f"SELECT '{f}', count(*) FILTER (WHERE ({expr[f]}) IS NULL) FROM mx")
+    return (
+        "SELECT field, missing_count FROM (" + " UNION ALL ".join(parts) + ") t "
+        "WHERE missing_count > 0 ORDER BY missing_count DESC, field"
+    )
+
+
+oracle("missing_fields", _missing_sql())
+oracle(
+    "short_matches",
+    """SELECT match_id, coalesce(duration, 0) AS duration, o_orderpriority AS game_mode, queue_id, map_id,
+              has_bot, coalesce(n_participants, 0) AS participants,
+              has_surrender AS game_ended_in_surrender, has_early AS game_ended_in_early_surrender
+       FROM mx WHERE coalesce(duration, 0) < 300 ORDER BY duration, match_id""",
+)
+
+# --- landing ----------------------------------------------------------------
+
+_NEW = f"""nw AS (
+  SELECT match_id, ({_VALID}) AS is_valid FROM mx
+  WHERE match_id IN (SELECT match_id FROM p WHERE puuid IS NOT NULL AND puuid <> '' AND puuid <> 'BOT')
+    AND match_id NOT IN (SELECT match_id FROM mx WHERE ingest_date = '2026-08-16')
+),
+fv AS (SELECT match_id FROM nw WHERE is_valid ORDER BY match_id LIMIT 20),
+bd AS (SELECT max(match_id) AS bnd, count(*) AS n FROM fv),
+mf AS (
+  SELECT '2026-08-17' AS batch_date,
+         CASE WHEN bd.n >= 20 THEN 'completed' ELSE 'incomplete' END AS status,
+         20 AS target_new_matches, nw.match_id, nw.is_valid
+  FROM nw, bd WHERE bd.n < 20 OR nw.match_id <= bd.bnd
+)"""
+
+
+def _with_new(body: str) -> str:
+    return "WITH " + _PRELUDE.strip() + ",\n" + _NEW + "\n" + body.strip()
+
+
+ORACLE["new_matches"] = _with_new("SELECT match_id FROM nw")
+ORACLE["new_valid_batch"] = _with_new("SELECT match_id FROM fv")
+ORACLE["batch_manifest"] = _with_new("SELECT * FROM mf")
+ORACLE["manifest_members"] = _with_new(
+    "SELECT match_id, ingest_date FROM mx WHERE match_id IN (SELECT match_id FROM mf)"
+)
+ORACLE["manifest_missing"] = _with_new(
+    "SELECT DISTINCT match_id FROM mf WHERE match_id NOT IN "
+    "(SELECT match_id FROM mx WHERE ingest_date = '2026-08-17')"
+)
+ORACLE["compact_jsonl"] = _with_new(
+    """SELECT '2026-08-17' AS batch_date, count(*) AS manifest_ids, count(*) AS lines_written,
+              count(*) FILTER (WHERE mx.has_bot) AS bot_matches_literal,
+              count(*) FILTER (WHERE mx.has_early) AS early_surrender_matches_literal,
+              'PASS' AS status
+       FROM mf JOIN mx ON mf.match_id = mx.match_id"""
+)
+
+# --- graph ------------------------------------------------------------------
+
+_GRAPH = f"""e AS (SELECT DISTINCT match_id, puuid FROM p WHERE puuid IS NOT NULL AND puuid <> '' AND puuid <> 'BOT'),
+v AS (SELECT match_id FROM mx WHERE {_VALID}),
+s0 AS (SELECT DISTINCT puuid FROM e WHERE match_id = (SELECT min(match_id) FROM v)),
+h1m AS (SELECT DISTINCT match_id FROM e WHERE puuid IN (SELECT puuid FROM s0) AND match_id IN (SELECT match_id FROM v)),
+h1 AS (SELECT DISTINCT puuid FROM e WHERE match_id IN (SELECT match_id FROM h1m) AND puuid NOT IN (SELECT puuid FROM s0)),
+h2m AS (SELECT DISTINCT match_id FROM e WHERE puuid IN (SELECT puuid FROM h1) AND match_id IN (SELECT match_id FROM v)),
+h2 AS (SELECT DISTINCT puuid FROM e WHERE match_id IN (SELECT match_id FROM h2m)
+         AND puuid NOT IN (SELECT puuid FROM s0) AND puuid NOT IN (SELECT puuid FROM h1))"""
+
+
+def _with_graph(body: str) -> str:
+    return "WITH " + _PRELUDE.strip() + ",\n" + _GRAPH + "\n" + body.strip()
+
+
+ORACLE["player_match_edges"] = _with_graph("SELECT match_id, puuid FROM e")
+ORACLE["frontier_1hop"] = _with_graph("SELECT 1 AS hop, puuid FROM h1")
+ORACLE["frontier_2hop"] = _with_graph(
+    "SELECT 1 AS hop, puuid FROM h1 UNION ALL SELECT 2 AS hop, puuid FROM h2"
+)
+oracle(
+    "recent_matches_per_player",
+    """SELECT puuid, match_id, game_start_time, CAST(recent_rank AS INTEGER) AS recent_rank FROM (
+         SELECT puuid, match_id, game_start_time,
+                row_number() OVER (PARTITION BY puuid ORDER BY game_start_time DESC, match_id ASC) AS recent_rank
+         FROM (SELECT DISTINCT puuid, match_id, game_start_time FROM p
+               WHERE puuid IS NOT NULL AND puuid <> '' AND puuid <> 'BOT') d
+       ) r WHERE recent_rank <= 20""",
+)

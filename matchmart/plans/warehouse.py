@@ -276,3 +276,55 @@ class Layers:
             "ads_champion_day_metrics",
             lambda: build_champion_day_metrics(self.dws_champion_day),
         )
+
+
+# --- text path (ODS raw JSON -> dwd_match) ----------------------------------
+
+# JSON paths of the match document fields read from raw text.
+JSON_PATHS = {
+    "match_id": "$.metadata.matchId",
+    "game_id": "$.info.gameId",
+    "platform_id": "$.info.platformId",
+    "start_ms": "$.info.gameStartTimestamp",
+    "end_ms": "$.info.gameEndTimestamp",
+    "game_duration": "$.info.gameDuration",
+    "game_mode": "$.info.gameMode",
+    "game_type": "$.info.gameType",
+    "queue_id": "$.info.queueId",
+    "map_id": "$.info.mapId",
+    "game_version": "$.info.gameVersion",
+}
+BOT_PROBE = '"puuid":"BOT"'
+EARLY_SURRENDER_PROBE = '"gameEndedInEarlySurrender":true'
+
+
+def build_match_from_text(raw: DataFrame) -> DataFrame:
+    """``dwd_match`` from raw JSON text ``(raw_json, ingest_date)`` by JSON
+    path, as the HiveQL build does (P1, P2, P11, P12).
+
+    Paths are evaluated with ``get_json_object`` and casts are ``try_cast``
+    (bad text becomes NULL instead of failing under ANSI, W1). The flags are
+    substring probes, which hold only for compact JSON (W3); for documents of
+    unknown formatting use ``build_match`` on parsed documents instead.
+    """
+    j = {k: F.get_json_object("raw_json", p) for k, p in JSON_PATHS.items()}
+    start_s = epoch_ms_to_s(j["start_ms"])
+    end_s = epoch_ms_to_s(j["end_ms"])
+    return raw.select(
+        j["match_id"].alias("match_id"),
+        safe_bigint(j["game_id"]).alias("game_id"),
+        j["platform_id"].alias("platform_id"),
+        timestamp_string_from_epoch_s(start_s).alias("game_start_time"),
+        timestamp_string_from_epoch_s(end_s).alias("game_end_time"),
+        safe_int(j["game_duration"]).alias("game_duration"),
+        j["game_mode"].alias("game_mode"),
+        j["game_type"].alias("game_type"),
+        safe_int(j["queue_id"]).alias("queue_id"),
+        safe_int(j["map_id"]).alias("map_id"),
+        j["game_version"].alias("game_version"),
+        patch_version(j["game_version"]).alias("patch_version"),
+        flag(F.instr("raw_json", BOT_PROBE) > 0).alias("is_bot_match"),
+        flag(F.instr("raw_json", EARLY_SURRENDER_PROBE) > 0).alias("is_early_surrender"),
+        F.col("ingest_date").cast("string").alias("source_ingest_date"),
+        date_string_from_epoch_s(start_s).alias("dt"),
+    )

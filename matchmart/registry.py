@@ -1,22 +1,62 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the driver tables (through the adapter in
-``matchmart.sources.tables``) and runs over them whole.
+``matchmart.sources.tables``), or files Spark lands from them, and runs over
+them whole. Landed files live under the session's shared checkpoint location
+and are written once per input snapshot.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from matchmart.plans.warehouse import Layers, slice_metrics
-from matchmart.session import apply_defaults
-from matchmart.sources.tables import tables_to_frames
+from matchmart.functions.exprs import (
+    date_string_from_epoch_s,
+    epoch_ms_to_s,
+    flag,
+    human_ids,
+    patch_by_split,
+    patch_version,
+    timestamp_string_from_epoch_s,
+    valid_match,
+)
+from matchmart.operators.graph import (
+    expand_frontier,
+    player_match_edges,
+    recent_matches,
+    seed_players,
+)
+from matchmart.plans import landing, profile, quality
+from matchmart.plans.warehouse import Layers, build_match_from_text, slice_metrics
+from matchmart.session import apply_defaults, path_exists, shared_path
+from matchmart.sources.documents import (
+    document_text,
+    ingest_date_from_path,
+    land_jsonl,
+    land_raw,
+    read_documents,
+    read_raw_text,
+)
+from matchmart.sources.frames import MatchFrames, frames_from_documents
+from matchmart.sources.tables import tables_to_documents, tables_to_frames
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
+# Scenario of the landing/graph keys (fixed test parameters).
+LANDED_DATE = "2026-08-16"  # documents already in the raw zone
+BATCH_DATE = "2026-08-17"  # the batch being collected
+BATCH_TARGET = 20  # new valid matches per batch (collector default)
+RECENT_PER_PLAYER = 20  # candidates per player (collector default)
+PREVIEW_ROWS = 30  # rows shown by the preview
+SLICE = {"queue_id": 420, "date_from": "1996-01-01", "date_to": "1997-12-31"}
+SHORT_SECONDS = 300
+
 
 def query(name: str):
     def deco(fn: QueryFn) -> QueryFn:
@@ -26,9 +66,308 @@ def query(name: str):
     return deco
 
 
+# --- inputs -----------------------------------------------------------------
+
+
+def frames(spark: SparkSession, sf_dir: str) -> MatchFrames:
+    apply_defaults(spark)
+    return tables_to_frames(spark, sf_dir)
+
+
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
+    return Layers(frames(spark, sf_dir))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_defaults(spark)
-    return Layers(tables_to_frames(spark, sf_dir))
+    return tables_to_documents(spark, sf_dir)
+
+
+def _snapshot_tag(sf_dir: str) -> str:
+    """Tag of the input tables (path, size, mtime) naming the landed copy."""
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    for t in ("orders", "lineitem", "part"):
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        try:
+            st = os.stat(p)
+            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+        except OSError:
+            h.update(t.encode())
+    return h.hexdigest()[:16]
+
+
+def _landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
+    """Land the documents once per input snapshot; return the root path."""
+    root = shared_path(spark, f"{layout}-{_snapshot_tag(sf_dir)}")
+    if not path_exists(spark, root + "/_SUCCESS"):
+        docs = documents(spark, sf_dir)
+        if layout == "raw":
+            land_raw(docs, root)
+        else:
+            land_jsonl(document_text(docs), root)
+    return root
+
+
+def raw_zone(spark: SparkSession, sf_dir: str) -> str:
+    return _landed(spark, sf_dir, "raw")
+
+
+def staging(spark: SparkSession, sf_dir: str) -> str:
+    return _landed(spark, sf_dir, "jsonl")
+
+
+def quality_inputs(spark: SparkSession, sf_dir: str) -> quality.QualityInputs:
+    lay = layers(spark, sf_dir)
+    return quality.QualityInputs(
+        lay.dwd_match, lay.dwd_player_match, lay.dws_champion_day, lay.ads_champion_day_metrics
+    )
+
+
+# --- scans / sources --------------------------------------------------------
+
+
+def _scan_projection(docs: DataFrame) -> DataFrame:
+    m = frames_from_documents(docs).matches
+    return m.select(
+        "match_id",
+        "ingest_date",
+        F.col("gameId").alias("game_id"),
+        F.col("gameVersion").alias("game_version"),
+        F.col("n_participants").alias("participant_count"),
+    )
+
+
+@query("scan_documents")
+def q_scan_documents(spark, sf_dir):
+    """Every ingest date of the multi-line raw zone."""
+    return _scan_projection(read_documents(spark, raw_zone(spark, sf_dir), "raw"))
+
+
+@query("scan_one_ingest_date")
+def q_scan_one_ingest_date(spark, sf_dir):
+    """S3: one partition; the others are pruned."""
+    docs = read_documents(spark, raw_zone(spark, sf_dir), "raw", ingest_dates=[LANDED_DATE])
+    return _scan_projection(docs)
+
+
+@query("source_ingest_date")
+def q_source_ingest_date(spark, sf_dir):
+    """Ingest date recovered from each document's file path."""
+    docs = read_documents(spark, raw_zone(spark, sf_dir), "raw")
+    return docs.select(
+        F.col("metadata.matchId").alias("match_id"),
+        ingest_date_from_path("source_file").alias("source_ingest_date"),
+    )
+
+
+@query("ods_raw")
+def q_ods_raw(spark, sf_dir):
+    """Raw-text table over JSONL staging; literal flags on compact text."""
+    raw = read_raw_text(spark, staging(spark, sf_dir))
+    return raw.select(
+        F.get_json_object("raw_json", "$.metadata.matchId").alias("match_id"),
+        "ingest_date",
+        flag(F.instr("raw_json", '"puuid":"BOT"') > 0).alias("is_bot_match"),
+        flag(F.instr("raw_json", '"gameEndedInEarlySurrender":true') > 0).alias(
+            "is_early_surrender"
+        ),
+    )
+
+
+@query("layer_row_counts")
+def q_layer_row_counts(spark, sf_dir):
+    """S6, A1, PF4: row count of each of the four layers (one union)."""
+    lay = layers(spark, sf_dir)
+    parts = [
+        ("dwd_match", lay.dwd_match),
+        ("dwd_player_match", lay.dwd_player_match),
+        ("dws_champion_day", lay.dws_champion_day),
+        ("ads_champion_day_metrics", lay.ads_champion_day_metrics),
+    ]
+    out = None
+    for name, df in parts:
+        c = df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(name).alias("layer"), "cnt")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+# --- projections / expressions ---------------------------------------------
+
+
+@query("player_match_preview")
+def q_player_match_preview(spark, sf_dir):
+    """K10, P14, P19, O5, PF3: the 11-column preview, first rows in a total order."""
+    cols = [
+        "match_id",
+        "participant_id",
+        "champion_name",
+        "team_position",
+        "kills",
+        "deaths",
+        "assists",
+        "gold_earned",
+        "win",
+        "is_bot_player",
+        "dt",
+    ]
+    p = layers(spark, sf_dir).dwd_player_match.select(*cols)
+    return p.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(PREVIEW_ROWS)
+
+
+@query("json_path_extract")
+def q_json_path_extract(spark, sf_dir):
+    """dwd_match from raw JSON text by JSON path (the HiveQL build)."""
+    return build_match_from_text(document_text(documents(spark, sf_dir)))
+
+
+@query("epoch_to_dt")
+def q_epoch_to_dt(spark, sf_dir):
+    """Epoch ms -> seconds, timestamp text and date text (UTC)."""
+    m = frames(spark, sf_dir).matches
+    s = epoch_ms_to_s("gameStartTimestamp")
+    return m.select(
+        "match_id",
+        s.alias("start_s"),
+        timestamp_string_from_epoch_s(s).alias("game_start_time"),
+        timestamp_string_from_epoch_s(epoch_ms_to_s("gameEndTimestamp")).alias("game_end_time"),
+        date_string_from_epoch_s(s).alias("dt"),
+    )
+
+
+@query("patch_version")
+def q_patch_version(spark, sf_dir):
+    m = frames(spark, sf_dir).matches
+    return m.select(
+        "match_id",
+        F.col("gameVersion").alias("game_version"),
+        patch_version("gameVersion").alias("patch_version"),
+    )
+
+
+@query("patch_by_split")
+def q_patch_by_split(spark, sf_dir):
+    m = frames(spark, sf_dir).matches
+    return m.select(
+        "match_id",
+        F.col("gameVersion").alias("game_version"),
+        patch_by_split("gameVersion").alias("patch"),
+    )
+
+
+@query("is_bot_match")
+def q_is_bot_match(spark, sf_dir):
+    """Any participant is a bot (structural, on nested documents)."""
+    docs = documents(spark, sf_dir)
+    m = frames_from_documents(docs).matches
+    return m.select("match_id", flag(F.col("has_bot")).alias("is_bot_match"))
+
+
+@query("is_early_surrender")
+def q_is_early_surrender(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    m = frames_from_documents(docs).matches
+    return m.select("match_id", flag(F.col("has_early_surrender")).alias("is_early_surrender"))
+
+
+@query("player_flags")
+def q_player_flags(spark, sf_dir):
+    p = layers(spark, sf_dir).dwd_player_match
+    return p.select("match_id", "participant_id", "is_bot_player", "is_early_surrender")
+
+
+@query("participant_count")
+def q_participant_count(spark, sf_dir):
+    """``size(info.participants)`` (NULL for a missing array)."""
+    docs = documents(spark, sf_dir)
+    return docs.select(
+        F.col("metadata.matchId").alias("match_id"),
+        F.size("info.participants").alias("participant_count"),
+    )
+
+
+@query("explode_participants")
+def q_explode_participants(spark, sf_dir):
+    """One row per array element; empty/missing arrays produce none."""
+    docs = documents(spark, sf_dir)
+    e = docs.select(
+        F.col("metadata.matchId").alias("match_id"),
+        F.explode("info.participants").alias("player"),
+    )
+    return e.select(
+        "match_id",
+        F.col("player.participantId").alias("participant_id"),
+        F.col("player.puuid").alias("puuid"),
+        F.col("player.championId").alias("champion_id"),
+    )
+
+
+@query("kda_ratio")
+def q_kda_ratio(spark, sf_dir):
+    a = layers(spark, sf_dir).ads_champion_day_metrics
+    return a.select("dt", "patch_version", "queue_id", "champion_id", "kda_ratio")
+
+
+@query("human_players")
+def q_human_players(spark, sf_dir):
+    """Non-empty, non-bot participant ids of each document."""
+    docs = documents(spark, sf_dir)
+    return docs.select(
+        F.col("metadata.matchId").alias("match_id"),
+        F.explode(human_ids("info.participants")).alias("puuid"),
+    )
+
+
+@query("document_keys")
+def q_document_keys(spark, sf_dir):
+    """Distinct object keys per level (document, info, participant)."""
+    raw = document_text(documents(spark, sf_dir))
+    top = raw.select(F.lit("document").alias("scope"), F.explode(F.json_object_keys("raw_json")).alias("key"))
+    info = raw.select(
+        F.lit("info").alias("scope"),
+        F.explode(F.json_object_keys(F.get_json_object("raw_json", "$.info"))).alias("key"),
+    )
+    parts = raw.select(
+        F.explode(
+            F.from_json(F.get_json_object("raw_json", "$.info.participants"), "array<string>")
+        ).alias("p")
+    ).select(F.lit("participant").alias("scope"), F.explode(F.json_object_keys("p")).alias("key"))
+    return top.unionByName(info).unionByName(parts).distinct().orderBy("scope", "key")
+
+
+@query("match_basic_info")
+def q_match_basic_info(spark, sf_dir):
+    return profile.match_basic_info(frames_from_documents(documents(spark, sf_dir)).matches)
+
+
+@query("participant_identity")
+def q_participant_identity(spark, sf_dir):
+    """Champion, K/D/A, win and identity of every participant."""
+    docs = documents(spark, sf_dir)
+    e = docs.select(
+        F.col("metadata.matchId").alias("match_id"),
+        F.explode("info.participants").alias("p"),
+    )
+    return e.select(
+        "match_id",
+        F.col("p.participantId").alias("participant_id"),
+        F.col("p.puuid").alias("puuid"),
+        F.col("p.riotIdGameName").alias("riot_id_game_name"),
+        F.col("p.riotIdTagline").alias("riot_id_tagline"),
+        F.col("p.teamId").alias("team_id"),
+        F.col("p.championId").alias("champion_id"),
+        F.col("p.championName").alias("champion_name"),
+        F.col("p.kills").alias("kills"),
+        F.col("p.deaths").alias("deaths"),
+        F.col("p.assists").alias("assists"),
+        F.col("p.win").alias("win"),
+    )
+
+
+@query("team_rows")
+def q_team_rows(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    e = docs.select(F.col("metadata.matchId").alias("match_id"), F.explode("info.teams").alias("t"))
+    return e.select("match_id", F.col("t.teamId").alias("team_id"), F.col("t.win").alias("win"))
 
 
 # --- warehouse layers -------------------------------------------------------
@@ -67,3 +406,239 @@ def q_dws(spark, sf_dir):
 @query("ads_champion_day_metrics")
 def q_ads(spark, sf_dir):
     return layers(spark, sf_dir).ads_champion_day_metrics
+
+
+@query("ads_slice")
+def q_ads_slice(spark, sf_dir):
+    """dashboard slice (queue and date range)."""
+    return slice_metrics(layers(spark, sf_dir).ads_champion_day_metrics, **SLICE)
+
+
+# --- quality ----------------------------------------------------------------
+
+
+def _rule(rule_id: str) -> QueryFn:
+    def run(spark, sf_dir):
+        return quality.rule_results(quality_inputs(spark, sf_dir), [rule_id])
+
+    return run
+
+
+for _rid in quality.RULE_NAMES:
+    query(_rid.lower())(_rule(_rid))
+
+
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    return quality.report(quality_inputs(spark, sf_dir))
+
+
+@query("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    return quality.summary(quality.report(quality_inputs(spark, sf_dir)))
+
+
+@query("fanout_reconciliation")
+def q_fanout(spark, sf_dir):
+    """Rows after explode = sum of array sizes (one pass over documents)."""
+    docs = documents(spark, sf_dir)
+    size = F.size("info.participants")
+    # A document contributes its size once and one row per exploded element;
+    # both sums come from the same scan.
+    per_doc = docs.select(size.alias("n"), F.coalesce(size, F.lit(0)).alias("rows"))
+    agg = per_doc.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum("n").cast("bigint").alias("expected_players"),
+        F.sum("rows").cast("bigint").alias("exploded_players"),
+    )
+    return agg.withColumn(
+        "status",
+        F.when(F.col("expected_players") == F.col("exploded_players"), "PASS").otherwise("FAIL"),
+    )
+
+
+@query("expected_player_count")
+def q_expected_player_count(spark, sf_dir):
+    """Sum of participant array sizes (NULL sizes ignored)."""
+    docs = documents(spark, sf_dir)
+    return docs.agg(F.sum(F.size("info.participants")).cast("bigint").alias("expected_count"))
+
+
+# --- filters ----------------------------------------------------------------
+
+
+@query("valid_matches")
+def q_valid_matches(spark, sf_dir):
+    m = frames(spark, sf_dir).matches
+    return m.where(valid_match("n_participants", "has_bot", "mapId")).select("match_id")
+
+
+@query("valid_matches_any_map")
+def q_valid_matches_any_map(spark, sf_dir):
+    m = frames(spark, sf_dir).matches
+    return m.where(valid_match("n_participants", "has_bot", "mapId", required_map=None)).select(
+        "match_id"
+    )
+
+
+# --- profile ----------------------------------------------------------------
+
+
+def _profile_input(spark, sf_dir):
+    return frames_from_documents(documents(spark, sf_dir)).matches
+
+
+@query("profile_basic")
+def q_profile_basic(spark, sf_dir):
+    return profile.profile_basic(_profile_input(spark, sf_dir))
+
+
+@query("freq_mode")
+def q_freq_mode(spark, sf_dir):
+    return profile.freq_mode(_profile_input(spark, sf_dir))
+
+
+@query("freq_queue")
+def q_freq_queue(spark, sf_dir):
+    return profile.freq_queue(_profile_input(spark, sf_dir))
+
+
+@query("freq_map")
+def q_freq_map(spark, sf_dir):
+    return profile.freq_map(_profile_input(spark, sf_dir))
+
+
+@query("freq_patch")
+def q_freq_patch(spark, sf_dir):
+    return profile.freq_patch(_profile_input(spark, sf_dir))
+
+
+@query("freq_participants")
+def q_freq_participants(spark, sf_dir):
+    return profile.freq_participants(_profile_input(spark, sf_dir))
+
+
+@query("profile_duration")
+def q_profile_duration(spark, sf_dir):
+    return profile.profile_duration(_profile_input(spark, sf_dir))
+
+
+@query("profile_date_range")
+def q_profile_date_range(spark, sf_dir):
+    return profile.profile_date_range(_profile_input(spark, sf_dir))
+
+
+@query("missing_fields")
+def q_missing_fields(spark, sf_dir):
+    return profile.missing_fields(_profile_input(spark, sf_dir))
+
+
+@query("short_matches")
+def q_short_matches(spark, sf_dir):
+    return profile.short_matches(_profile_input(spark, sf_dir), SHORT_SECONDS)
+
+
+# --- landing ----------------------------------------------------------------
+
+
+def _landing_state(spark, sf_dir):
+    """Landed ids (the earlier batch) and the candidates of this batch: every
+    match reachable from a human player."""
+    fr = frames(spark, sf_dir)
+    landed = fr.matches.where(F.col("ingest_date") == LANDED_DATE).select("match_id")
+    reachable = player_match_edges(fr.participants).select("match_id")
+    candidates = landing.with_validity(
+        fr.matches.join(reachable.distinct(), "match_id", "left_semi")
+    )
+    return fr, landed, candidates
+
+
+@query("new_matches")
+def q_new_matches(spark, sf_dir):
+    """Candidate ids not landed yet, one row per id."""
+    _, landed, candidates = _landing_state(spark, sf_dir)
+    return landing.select_new(candidates, landed).select("match_id")
+
+
+@query("new_valid_batch")
+def q_new_valid_batch(spark, sf_dir):
+    """The first ``BATCH_TARGET`` new valid matches."""
+    _, landed, candidates = _landing_state(spark, sf_dir)
+    new = landing.select_new(candidates, landed)
+    return landing.first_valid(new, BATCH_TARGET).select("match_id")
+
+
+def _manifest(spark, sf_dir):
+    fr, landed, candidates = _landing_state(spark, sf_dir)
+    new = landing.select_new(candidates, landed)
+    return fr, landing.batch_manifest(new, BATCH_DATE, BATCH_TARGET)
+
+
+@query("batch_manifest")
+def q_batch_manifest(spark, sf_dir):
+    """One row per (batch, id) with status and target."""
+    return _manifest(spark, sf_dir)[1]
+
+
+@query("manifest_members")
+def q_manifest_members(spark, sf_dir):
+    """Documents belonging to the batch."""
+    fr, manifest = _manifest(spark, sf_dir)
+    return landing.manifest_members(fr.matches, manifest).select("match_id", "ingest_date")
+
+
+@query("manifest_missing")
+def q_manifest_missing(spark, sf_dir):
+    """Manifest ids with no landed document in the batch partition."""
+    fr, manifest = _manifest(spark, sf_dir)
+    in_batch = fr.matches.where(F.col("ingest_date") == BATCH_DATE).select("match_id")
+    return landing.manifest_missing(manifest, in_batch)
+
+
+@query("compact_jsonl")
+def q_compact_jsonl(spark, sf_dir):
+    """Compact the batch's raw documents to JSONL, write, read back
+    and reconcile the line count with the manifest."""
+    fr, manifest = _manifest(spark, sf_dir)
+    raw = read_raw_text(spark, staging(spark, sf_dir)).where(F.col("ingest_date") == BATCH_DATE)
+    compacted = landing.compact_batch(raw, manifest, BATCH_DATE)
+    out = shared_path(spark, f"compact-{_snapshot_tag(sf_dir)}-{BATCH_DATE}")
+    land_jsonl(compacted, out)
+    written = read_raw_text(spark, out).where(F.col("ingest_date") == BATCH_DATE)
+    return landing.compaction_reconciliation(written, manifest.select("match_id"), BATCH_DATE)
+
+
+# --- graph ------------------------------------------------------------------
+
+
+def _graph(spark, sf_dir):
+    fr = frames(spark, sf_dir)
+    edges = player_match_edges(fr.participants)
+    valid = fr.matches.where(valid_match("n_participants", "has_bot", "mapId")).select("match_id")
+    return fr, edges, valid
+
+
+@query("player_match_edges")
+def q_player_match_edges(spark, sf_dir):
+    return _graph(spark, sf_dir)[1]
+
+
+@query("frontier_1hop")
+def q_frontier_1hop(spark, sf_dir):
+    _, edges, valid = _graph(spark, sf_dir)
+    return expand_frontier(edges, valid, seed_players(edges, valid), hops=1)
+
+
+@query("frontier_2hop")
+def q_frontier_2hop(spark, sf_dir):
+    _, edges, valid = _graph(spark, sf_dir)
+    return expand_frontier(edges, valid, seed_players(edges, valid), hops=2)
+
+
+@query("recent_matches_per_player")
+def q_recent_matches(spark, sf_dir):
+    """Each human player's most recent matches (start time desc, id)."""
+    p = layers(spark, sf_dir).dwd_player_match
+    human = p.where(F.col("puuid").isNotNull() & (F.col("puuid") != "") & (F.col("puuid") != "BOT"))
+    pm = human.select("puuid", "match_id", "game_start_time").distinct()
+    return recent_matches(pm, RECENT_PER_PLAYER, "game_start_time")

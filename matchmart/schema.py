@@ -131,6 +131,7 @@ MATCH_FRAME_COLUMNS = [
     "has_bot",
     "has_early_surrender",
     "has_surrender",
+    "is_corrupt",
 ]
 
 # Header fields copied onto each participant row.

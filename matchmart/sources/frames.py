@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from matchmart.functions.exprs import any_element
 from matchmart.schema import (
+    CORRUPT_COLUMN,
     INFO_FIELDS,
     MATCH_FRAME_COLUMNS,
     PARTICIPANT_FIELDS,
@@ -52,6 +53,11 @@ def frames_from_documents(docs: DataFrame) -> MatchFrames:
     participants array is NULL or empty, as the reference does (W9).
     """
     parts = F.col("info.participants")
+    corrupt = (
+        F.col(CORRUPT_COLUMN).isNotNull()
+        if CORRUPT_COLUMN in docs.columns
+        else F.lit(False)
+    )
     matches = docs.select(
         F.col("metadata.matchId").alias("match_id"),
         F.col("ingest_date").cast("string").alias("ingest_date"),
@@ -62,6 +68,7 @@ def frames_from_documents(docs: DataFrame) -> MatchFrames:
             "has_early_surrender"
         ),
         any_element(parts, lambda p: p["gameEndedInSurrender"]).alias("has_surrender"),
+        corrupt.alias("is_corrupt"),
     )
     header = {
         "match_id": F.col("metadata.matchId"),

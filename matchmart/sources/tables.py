@@ -198,6 +198,7 @@ def tables_to_frames(spark: SparkSession, sf_dir: str) -> MatchFrames:
         F.coalesce((F.col("o_orderstatus") == "F") & F.col("_any_f"), F.lit(False)).alias(
             "has_surrender"
         ),
+        F.lit(False).alias("is_corrupt"),
     )
     return MatchFrames(matches, participants)
 
