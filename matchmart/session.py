@@ -42,6 +42,9 @@ def get_session(
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
         builder = builder.config("spark.ui.showConsoleProgress", "false")
+        if master.startswith("local"):
+            # Local mode: the driver JVM is the only executor.
+            builder = builder.config("spark.driver.memory", "8g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():

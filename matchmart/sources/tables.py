@@ -34,13 +34,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Scan-parallelism guard.
+
+    A table stored as one file with one row group scans as a single task, and
+    everything fused into that stage (joins with broadcast sides, projections)
+    then runs single-threaded. When the scan has fewer partitions than the
+    default parallelism, hash-partition it on its join key: deterministic on
+    retry, and the later joins/aggregations on that key can reuse it. Inputs
+    of many files or row groups (any real scale) already have enough
+    partitions and are left untouched, so no shuffle is added there.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df
+
+
 # --- match header -----------------------------------------------------------
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
-    )
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    return spread(read_table(spark, sf_dir, "orders").select(*cols), "o_orderkey")
 
 
 def _header_exprs() -> dict[str, Column]:
@@ -90,7 +106,7 @@ def _teams() -> Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "lineitem").select(
+    return spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
@@ -101,7 +117,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_tax",
         "l_returnflag",
         "l_linestatus",
-    )
+    ), "l_orderkey")
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
