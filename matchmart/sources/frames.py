@@ -53,8 +53,12 @@ def frames_from_documents(docs: DataFrame) -> MatchFrames:
     participants array is NULL or empty, as the reference does (W9).
     """
     parts = F.col("info.participants")
+    # A parse error is a file that is not JSON at all: nothing parsed. (A type
+    # mismatch inside valid JSON also sets the corrupt column, but keeps the
+    # fields that did parse; that document counts as read.) Referencing the
+    # parsed columns also keeps them in the scan's read schema.
     corrupt = (
-        F.col(CORRUPT_COLUMN).isNotNull()
+        F.col(CORRUPT_COLUMN).isNotNull() & F.col("metadata").isNull() & F.col("info").isNull()
         if CORRUPT_COLUMN in docs.columns
         else F.lit(False)
     )
