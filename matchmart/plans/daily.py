@@ -58,6 +58,7 @@ class DailyConfig:
     database: str = "matchmart"
     raw_root: str = ""
     layout: str = "raw"
+    parse_ingest_dates: list | None = None
     full_refresh_player_match: bool = True
     expected_players: int = quality.EXPECTED_PLAYERS
     jdbc_url: str | None = None
@@ -84,22 +85,28 @@ class StageLog:
         return spark.createDataFrame(self.rows, "stage string, seconds double, status string")
 
 
-def parse_documents(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> DataFrame:
-    """Parse the raw zone once into the columnar document table."""
-    docs = read_documents(spark, cfg.raw_root, cfg.layout)
+def parse_documents(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> None:
+    """Parse the raw zone once into the columnar document table.
+
+    Default: the table mirrors the whole raw zone (static overwrite), as the
+    reference re-reads all history every run. With ``cfg.parse_ingest_dates``
+    only those partitions are re-parsed and replaced (dynamic overwrite):
+    the incremental mode for an append-only raw zone.
+    """
+    docs = read_documents(spark, cfg.raw_root, cfg.layout, ingest_dates=cfg.parse_ingest_dates)
+    mode = "static" if cfg.parse_ingest_dates is None else "dynamic"
     (
         docs.drop("source_file")
-        .withColumn("source_ingest_date", F.col("ingest_date"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", mode)
         .partitionBy("ingest_date")
         .parquet(doc_path)
     )
-    return spark.read.parquet(doc_path)
 
 
 def _documents(spark: SparkSession, doc_path: str) -> DataFrame:
-    # Partition values are read back as text (ingest_date is a string).
-    return spark.read.schema(spark.read.parquet(doc_path).schema).parquet(doc_path).withColumn(
+    # Partition values are inferred as DATE; the warehouse keeps them as text.
+    return spark.read.parquet(doc_path).withColumn(
         "ingest_date", F.col("ingest_date").cast("string")
     )
 
