@@ -65,6 +65,7 @@ class DailyConfig:
     jdbc_table: str = "ads_champion_day_metrics_serving"
     jdbc_properties: dict = field(default_factory=dict)
     history_table: str = "dq_check_result"
+    buckets: int | None = 16
 
 
 @dataclass
@@ -145,22 +146,6 @@ def build_dwd_player_match(spark: SparkSession, cfg: DailyConfig, doc_path: str)
     return int(actual)
 
 
-def ensure_player_table(spark: SparkSession, database: str) -> None:
-    from matchmart.schema import PLAYER_COLUMNS
-
-    type_names = {"IntegerType()": "INT", "LongType()": "BIGINT", "StringType()": "STRING", "BooleanType()": "BOOLEAN"}
-    cols = (
-        ["match_id STRING", "game_id BIGINT", "platform_id STRING", "game_start_time TIMESTAMP",
-         "game_mode STRING", "queue_id INT", "patch_version STRING"]
-        + [f"{out} {type_names[repr(t)]}" for out, _, t in PLAYER_COLUMNS]
-        + ["is_bot_player INT", "is_early_surrender INT", "source_ingest_date STRING", "dt STRING"]
-    )
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {qualified(database, 'dwd_player_match')} "
-        f"({', '.join(cols)}) USING orc PARTITIONED BY (dt)"
-    )
-
-
 def run_daily(spark: SparkSession, batch_date: str, cfg: DailyConfig) -> DataFrame:
     """Run every stage for ``batch_date``; returns the stage log.
 
@@ -170,8 +155,7 @@ def run_daily(spark: SparkSession, batch_date: str, cfg: DailyConfig) -> DataFra
     """
     check_batch_date(batch_date)
     db = cfg.database
-    create_tables(spark, db)
-    ensure_player_table(spark, db)
+    create_tables(spark, db, buckets=cfg.buckets)
     location = spark.sql(f"DESCRIBE DATABASE {db}").where("info_name = 'Location'").first()["info_value"]
     doc_path = location.rstrip("/") + f"/{DOC_TABLE}"
     t = lambda name: qualified(db, name)

@@ -227,7 +227,28 @@ DQ_RESULT_SCHEMA = T.StructType(
 )
 
 # Table DDL (Spark SQL, ORC, partitioned by dt where the reference does so).
+_SQL_TYPES = {"IntegerType()": "INT", "LongType()": "BIGINT", "StringType()": "STRING", "BooleanType()": "BOOLEAN"}
+
+DWD_PLAYER_MATCH_DDL = ", ".join(
+    [
+        "match_id STRING",
+        "game_id BIGINT",
+        "platform_id STRING",
+        "game_start_time TIMESTAMP",
+        "game_mode STRING",
+        "queue_id INT",
+        "patch_version STRING",
+    ]
+    + [f"{out} {_SQL_TYPES[repr(t)]}" for out, _, t in PLAYER_COLUMNS]
+    + ["is_bot_player INT", "is_early_surrender INT", "source_ingest_date STRING", "dt STRING"]
+)
+
+# Detail tables bucketed by match id (same bucket count): the summary join
+# and the per-match quality aggregates then read co-partitioned data.
+BUCKET_COLUMNS = {"dwd_match": "match_id", "dwd_player_match": "match_id"}
+
 LAYER_DDL = {
+    "dwd_player_match": (DWD_PLAYER_MATCH_DDL, "dt"),
     "dwd_match": (
         "match_id STRING, game_id BIGINT, platform_id STRING, game_start_time STRING, "
         "game_end_time STRING, game_duration INT, game_mode STRING, game_type STRING, "
