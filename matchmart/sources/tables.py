@@ -45,8 +45,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     of many files or row groups (any real scale) already have enough
     partitions and are left untouched, so no shuffle is added there.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave as is
+        return df
+    if have < target:
         return df.repartition(target, key)
     return df
 
