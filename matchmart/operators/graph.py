@@ -42,6 +42,11 @@ def expand_frontier(
     visited). Returns ``(hop, puuid)``.
     """
     valid_ids = valid_matches.select("match_id").distinct()
+    if checkpoint:
+        # Every hop reads the edge list and the valid set: materialize them
+        # once in the shared checkpoint folder instead of re-deriving per hop.
+        edges = edges.checkpoint(eager=True)
+        valid_ids = valid_ids.checkpoint(eager=True)
     seen = seeds.select("puuid").distinct()
     frontier = seen
     out = None

@@ -33,7 +33,7 @@ from matchmart.operators.graph import (
 )
 from matchmart.plans import landing, profile, quality
 from matchmart.plans.warehouse import Layers, build_match_from_text, slice_metrics
-from matchmart.session import apply_defaults, path_exists, shared_path
+from matchmart.session import apply_defaults, path_exists, shared_path, write_marker
 from matchmart.sources.documents import (
     document_text,
     ingest_date_from_path,
@@ -111,12 +111,14 @@ def _snapshot_tag(sf_dir: str) -> str:
 def _landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
     """Land the documents once per input snapshot; return the root path."""
     root = shared_path(spark, f"{layout}-{_snapshot_tag(sf_dir)}")
-    if not path_exists(spark, root + "/_SUCCESS"):
+    marker = root + "/_LANDED"
+    if not path_exists(spark, marker):
         docs = documents(spark, sf_dir)
         if layout == "raw":
             land_raw(docs, root)
         else:
             land_jsonl(document_text(docs), root)
+        write_marker(spark, marker)
     return root
 
 

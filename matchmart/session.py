@@ -95,6 +95,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def write_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (completion flag) through Hadoop FS.
+
+    A dynamic-partition-overwrite write leaves no ``_SUCCESS`` at the output
+    root, so completion of a landing is recorded explicitly.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(hpath, True).close()
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (only used by tests that inspect files)."""
     return path[5:] if path.startswith("file:") else path

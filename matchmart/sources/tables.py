@@ -232,15 +232,25 @@ def tables_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     header = _header_exprs()
     pexprs = _participant_exprs()
-    rows = _participant_rows(spark, sf_dir)
-    nested = rows.groupBy("l_orderkey").agg(
-        F.array_sort(
-            F.collect_list(F.struct(*[pexprs[n].alias(n) for n, _ in PARTICIPANT_FIELDS]))
-        ).alias("participants")
+    lines = join_dimension(
+        _lines(spark, sf_dir),
+        _parts(spark, sf_dir),
+        F.col("l_partkey") == F.col("p_partkey"),
+        "left",
     )
-    orders = _orders(spark, sf_dir).join(
-        nested, F.col("o_orderkey") == F.col("l_orderkey"), "left"
+    # One left join: every order keeps its row; the group key is the order's
+    # own columns, so the header needs no second join. collect_list skips the
+    # NULL struct of an order without lines, which then gets no array.
+    order_cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    rows = _orders(spark, sf_dir).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    element = F.when(
+        F.col("l_orderkey").isNotNull(),
+        F.struct(*[pexprs[n].alias(n) for n, _ in PARTICIPANT_FIELDS]),
     )
+    grouped = rows.groupBy(*order_cols).agg(F.array_sort(F.collect_list(element)).alias("_p"))
+    orders = grouped.withColumn(
+        "participants", F.when(F.size("_p") > 0, F.col("_p"))
+    ).drop("_p")
     info = F.struct(
         *[header[n].alias(n) for n, _ in INFO_FIELDS],
         F.col("participants").alias("participants"),
