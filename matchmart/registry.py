@@ -334,6 +334,9 @@ def q_human_players(spark, sf_dir):
 @query("document_keys")
 def q_document_keys(spark, sf_dir):
     """Distinct object keys per level (document, info, participant)."""
+    # Three explode branches (generators stay in whole-stage codegen; a single
+    # pass with transform/flatten lambdas measured slower). The document build
+    # below them is one shared exchange.
     raw = document_text(documents(spark, sf_dir))
     top = raw.select(F.lit("document").alias("scope"), F.explode(F.json_object_keys("raw_json")).alias("key"))
     info = raw.select(
