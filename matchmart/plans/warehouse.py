@@ -86,42 +86,41 @@ def build_player_match(frames: MatchFrames) -> DataFrame:
 # --- DIM --------------------------------------------------------------------
 
 
+def _seen_range(df: DataFrame, key: str, name: str | None) -> DataFrame:
+    """``key`` -> MAX(``name``), first and last ``dt``.
+
+    ``dt`` is compared as DATE (fixed width; same order as its
+    ``yyyy-MM-dd`` text) and the name is a grouping key of the first level, so
+    the aggregate over all detail rows is hash-based. Only the second level,
+    over distinct (key, name) rows, carries the string MAX.
+    """
+    day = F.to_date("dt")
+    keys = [key] + ([name] if name else [])
+    first = df.where(F.col(key).isNotNull()).groupBy(*keys).agg(
+        F.min(day).alias("_first"), F.max(day).alias("_last")
+    )
+    aggs = [F.max(name).alias(name)] if name else []
+    out = first.groupBy(key).agg(
+        *aggs,
+        F.min("_first").cast("string").alias("first_seen_dt"),
+        F.max("_last").cast("string").alias("last_seen_dt"),
+    )
+    return out
+
+
 def build_dim_champion(player_match: DataFrame) -> DataFrame:
     """Champion id -> representative name, first/last seen date (D3)."""
-    return (
-        player_match.where(F.col("champion_id").isNotNull())
-        .groupBy("champion_id")
-        .agg(
-            F.max("champion_name").alias("champion_name"),
-            F.min("dt").alias("first_seen_dt"),
-            F.max("dt").alias("last_seen_dt"),
-        )
-    )
+    return _seen_range(player_match, "champion_id", "champion_name")
 
 
 def build_dim_queue(match: DataFrame) -> DataFrame:
     """Queue id -> representative mode, first/last seen date."""
-    return (
-        match.where(F.col("queue_id").isNotNull())
-        .groupBy("queue_id")
-        .agg(
-            F.max("game_mode").alias("game_mode"),
-            F.min("dt").alias("first_seen_dt"),
-            F.max("dt").alias("last_seen_dt"),
-        )
-    )
+    return _seen_range(match, "queue_id", "game_mode")
 
 
 def build_dim_patch(match: DataFrame) -> DataFrame:
     """Patch -> first/last seen date; NULL and '' patches excluded."""
-    return (
-        match.where(F.col("patch_version").isNotNull() & (F.col("patch_version") != ""))
-        .groupBy("patch_version")
-        .agg(
-            F.min("dt").alias("first_seen_dt"),
-            F.max("dt").alias("last_seen_dt"),
-        )
-    )
+    return _seen_range(match.where(F.col("patch_version") != ""), "patch_version", None)
 
 
 # --- DWS --------------------------------------------------------------------
@@ -146,18 +145,33 @@ def build_champion_day(player_match: DataFrame, match: DataFrame) -> DataFrame:
     un-reduced. A NULL ``win`` counts in ``match_count`` only (W6).
     """
     joined = player_match.join(pvp_match_ids(match), "match_id", "inner")
+    # Two levels. A string MAX has no fixed-width aggregation buffer, so
+    # aggregating it over the player rows would force a sort-based aggregate
+    # (every row sorted map-side). Grouping by the name as a key keeps the big
+    # aggregate hash-based; the string MAX then runs over the few distinct
+    # (key, name) rows. Sums and counts are unchanged by the split.
+    by_name = joined.groupBy(*DWS_KEYS, "champion_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col("win") == F.lit(True), 1).otherwise(0)).alias("w"),
+        F.sum(F.when(F.col("win") == F.lit(False), 1).otherwise(0)).alias("l"),
+        F.sum("kills").alias("k"),
+        F.sum("deaths").alias("d"),
+        F.sum("assists").alias("a"),
+        F.sum("gold_earned").alias("g"),
+        F.sum("total_damage_dealt_to_champions").alias("dmg"),
+    )
     return (
-        joined.groupBy(*DWS_KEYS)
+        by_name.groupBy(*DWS_KEYS)
         .agg(
             F.max("champion_name").alias("champion_name"),
-            F.count(F.lit(1)).alias("match_count"),
-            F.sum(F.when(F.col("win") == F.lit(True), 1).otherwise(0)).alias("win_count"),
-            F.sum(F.when(F.col("win") == F.lit(False), 1).otherwise(0)).alias("loss_count"),
-            F.sum("kills").cast("bigint").alias("total_kills"),
-            F.sum("deaths").cast("bigint").alias("total_deaths"),
-            F.sum("assists").cast("bigint").alias("total_assists"),
-            F.sum("gold_earned").cast("bigint").alias("total_gold"),
-            F.sum("total_damage_dealt_to_champions").cast("bigint").alias("total_damage"),
+            F.sum("n").alias("match_count"),
+            F.sum("w").alias("win_count"),
+            F.sum("l").alias("loss_count"),
+            F.sum("k").cast("bigint").alias("total_kills"),
+            F.sum("d").cast("bigint").alias("total_deaths"),
+            F.sum("a").cast("bigint").alias("total_assists"),
+            F.sum("g").cast("bigint").alias("total_gold"),
+            F.sum("dmg").cast("bigint").alias("total_damage"),
         )
         .select(
             "patch_version",
