@@ -5,8 +5,10 @@ a hop is a set operation: frontier players -> their valid matches (semi join)
 -> those matches' players (semi join) -> minus players already seen (anti
 join). Semi joins never emit pairs, so a player in a huge number of matches
 or a match with many players costs rows, not a cross product; AQE splits
-skewed join partitions. Each hop's result is checkpointed to the shared
-checkpoint location to cut the lineage of the iteration.
+skewed join partitions. The edge list, the valid set and each hop's result
+are written to the shared checkpoint folder and read back, which cuts the
+lineage of the iteration (one computation each, no recompute on a lost
+executor).
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchmart.operators.joins import excluding, members
+from matchmart.session import materialize
 
 BOT_PUUID = "BOT"
 
@@ -45,9 +48,11 @@ def expand_frontier(
     if checkpoint:
         # Every hop reads the edge list and the valid set: materialize them
         # once in the shared checkpoint folder instead of re-deriving per hop.
-        edges = edges.checkpoint(eager=True)
-        valid_ids = valid_ids.checkpoint(eager=True)
+        edges = materialize(edges, "frontier-edges")
+        valid_ids = materialize(valid_ids, "frontier-valid")
     seen = seeds.select("puuid").distinct()
+    if checkpoint:
+        seen = materialize(seen, "frontier-seeds")
     frontier = seen
     out = None
     for hop in range(1, hops + 1):
@@ -56,7 +61,7 @@ def expand_frontier(
         players = members(edges, reached, "match_id").select("puuid").distinct()
         fresh = excluding(players, seen, "puuid")
         if checkpoint:
-            fresh = fresh.checkpoint(eager=True)
+            fresh = materialize(fresh, f"frontier-hop{hop}")
         level = fresh.select(F.lit(hop).alias("hop"), "puuid")
         out = level if out is None else out.unionByName(level)
         seen = seen.unionByName(fresh)

@@ -73,6 +73,9 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            # Executors cannot share a machine-local folder.
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="matchmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext.getCheckpointDir():
@@ -95,6 +98,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
+    and return the read-back DataFrame.
+
+    One computation (an eager ``checkpoint()`` of an unpersisted plan runs it
+    twice), and the copy lives on shared storage, so losing an executor later
+    does not force recomputing the upstream plan.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_marker(spark: SparkSession, path: str) -> None:
     """Create an empty marker file (completion flag) through Hadoop FS.
 
