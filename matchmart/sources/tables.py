@@ -171,15 +171,20 @@ def _participant_exprs() -> dict[str, Column]:
 
 
 def _participant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their part (size-checked broadcast) and order columns."""
-    lines = join_dimension(
-        _lines(spark, sf_dir),
+    """Line items with their order columns and part (size-checked broadcast).
+
+    Orders first: both sides are clustered by the order key, so that join
+    needs no exchange when their partitionings already match; the part join
+    (a dimension) comes after.
+    """
+    orders = _orders(spark, sf_dir)
+    lines = _lines(spark, sf_dir).join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    return join_dimension(
+        lines,
         _parts(spark, sf_dir),
         F.col("l_partkey") == F.col("p_partkey"),
         "left",
     )
-    orders = _orders(spark, sf_dir)
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
 
 
 # --- public -----------------------------------------------------------------
