@@ -91,8 +91,19 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
     return Layers(frames(spark, sf_dir))
 
 
+def built_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested documents built from the driver tables (the landing input)."""
+    return _memo("built", spark, sf_dir, lambda: tables_to_documents(spark, sf_dir))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo("documents", spark, sf_dir, lambda: tables_to_documents(spark, sf_dir))
+    """The landed raw zone: documents as the warehouse reads them."""
+    return read_documents(spark, raw_zone(spark, sf_dir), "raw")
+
+
+def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ODS raw-text rows ``(raw_json, ingest_date)`` over JSONL staging."""
+    return read_raw_text(spark, staging(spark, sf_dir))
 
 
 def _snapshot_tag(sf_dir: str) -> str:
@@ -113,7 +124,7 @@ def _landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
     root = shared_path(spark, f"{layout}-{_snapshot_tag(sf_dir)}")
     marker = root + "/_LANDED"
     if not path_exists(spark, marker):
-        docs = documents(spark, sf_dir)
+        docs = built_documents(spark, sf_dir)
         if layout == "raw":
             land_raw(docs, root)
         else:
@@ -231,7 +242,7 @@ def q_player_match_preview(spark, sf_dir):
 @query("json_path_extract")
 def q_json_path_extract(spark, sf_dir):
     """dwd_match from raw JSON text by JSON path (the HiveQL build)."""
-    return build_match_from_text(document_text(documents(spark, sf_dir)))
+    return build_match_from_text(raw_text(spark, sf_dir))
 
 
 @query("epoch_to_dt")
@@ -334,10 +345,9 @@ def q_human_players(spark, sf_dir):
 @query("document_keys")
 def q_document_keys(spark, sf_dir):
     """Distinct object keys per level (document, info, participant)."""
-    # Three explode branches (generators stay in whole-stage codegen; a single
-    # pass with transform/flatten lambdas measured slower). The document build
-    # below them is one shared exchange.
-    raw = document_text(documents(spark, sf_dir))
+    # Three explode branches over the raw text (generators stay in whole-stage
+    # codegen; a single pass with transform/flatten lambdas measured slower).
+    raw = raw_text(spark, sf_dir)
     top = raw.select(F.lit("document").alias("scope"), F.explode(F.json_object_keys("raw_json")).alias("key"))
     info = raw.select(
         F.lit("info").alias("scope"),
