@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,17 +120,21 @@ def _snapshot_tag(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
+_LANDING_LOCK = threading.Lock()
+
+
 def _landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
     """Land the documents once per input snapshot; return the root path."""
     root = shared_path(spark, f"{layout}-{_snapshot_tag(sf_dir)}")
     marker = root + "/_LANDED"
-    if not path_exists(spark, marker):
-        docs = built_documents(spark, sf_dir)
-        if layout == "raw":
-            land_raw(docs, root)
-        else:
-            land_jsonl(document_text(docs), root)
-        write_marker(spark, marker)
+    with _LANDING_LOCK:  # queries run from several threads land once
+        if not path_exists(spark, marker):
+            docs = built_documents(spark, sf_dir)
+            if layout == "raw":
+                land_raw(docs, root)
+            else:
+                land_jsonl(document_text(docs), root)
+            write_marker(spark, marker)
     return root
 
 
