@@ -39,6 +39,7 @@ from matchmart.plans.warehouse import (
     build_match,
     build_player_match,
 )
+from matchmart.session import path_bytes, size_partitions
 from matchmart.sources.documents import read_documents
 from matchmart.sources.frames import frames_from_documents
 
@@ -155,6 +156,8 @@ def run_daily(spark: SparkSession, batch_date: str, cfg: DailyConfig) -> DataFra
     """
     check_batch_date(batch_date)
     db = cfg.database
+    # Shuffle/scan sizing from the input (cluster sessions only).
+    size_partitions(spark, path_bytes(spark, cfg.raw_root))
     create_tables(spark, db, buckets=cfg.buckets)
     location = spark.sql(f"DESCRIBE DATABASE {db}").where("info_name = 'Location'").first()["info_value"]
     doc_path = location.rstrip("/") + f"/{DOC_TABLE}"

@@ -112,6 +112,37 @@ def materialize(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop content summary)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def size_partitions(
+    spark: SparkSession,
+    input_bytes: int,
+    target_bytes: int = 256 << 20,
+    split_bytes: int = 256 << 20,
+) -> int:
+    """Size shuffles and scan splits for an input of ``input_bytes``.
+
+    The shuffle partition count becomes the AQE *initial* count: about
+    ``input_bytes / target_bytes`` (at least twice the cores), so no shuffle
+    partition of an expanded intermediate outgrows executor memory; AQE then
+    coalesces small ones to the advisory size. Scan splits are capped at
+    ``split_bytes``. Local sessions keep their own settings.
+    """
+    if spark.sparkContext.master.startswith("local"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(2 * spark.sparkContext.defaultParallelism, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 << 20))
+    return n
+
+
 def write_marker(spark: SparkSession, path: str) -> None:
     """Create an empty marker file (completion flag) through Hadoop FS.
 
