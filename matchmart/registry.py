@@ -107,9 +107,13 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_text(spark, staging(spark, sf_dir))
 
 
+LANDING_VERSION = "1"  # bump when the landed layout or document mapping changes
+
+
 def _snapshot_tag(sf_dir: str) -> str:
-    """Tag of the input tables (path, size, mtime) naming the landed copy."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    """Tag of the input tables (path, size, mtime) and the landing layout
+    version, naming the landed copy."""
+    h = hashlib.sha1(f"{LANDING_VERSION}:{os.path.abspath(sf_dir)}".encode())
     for t in ("orders", "lineitem", "part"):
         p = os.path.join(sf_dir, f"{t}.parquet")
         try:
