@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from matchmart.registry import QUERIES
 
 TABLES = ["orders", "lineitem", "part", "customer", "supplier", "events"]
 
@@ -48,7 +49,7 @@ def duck():
 def test_contract_keys():
     q, o = entry.queries(), entry.oracle_sql()
     assert len(q) >= 62
-    missing = sorted(set(q) - set(o))
+    missing = sorted(set(QUERIES) - set(o))
     assert missing == [], f"queries without oracle: {missing}"
 
 
@@ -58,7 +59,7 @@ def test_entry_runs(spark):
     assert "win_rate" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF_SMALL).toPandas()
     odf = duck.execute(entry.oracle_sql()[name]).df()
