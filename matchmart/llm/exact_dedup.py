@@ -126,10 +126,12 @@ def exact_dedup(docs: DataFrame, ident=identifier) -> DataFrame:
 def keep_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay: one of each
     group of equal texts (of rows that repeat the id that stays, any one)."""
-    stays = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    one = F.expr("row_number() OVER (PARTITION BY doc_id ORDER BY length(text) DESC)")
-    return rows.withColumn("__one", one).where("__one = 1").drop("__one")
+    stays = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    rows = docs.withColumn("__text", F.sha2(normalised(F.col("text")), 256))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__sha"))
+    rows = rows.join(stays.distinct(), same, "left_semi")
+    one = F.expr("row_number() OVER (PARTITION BY doc_id, __text ORDER BY length(text) DESC)")
+    return rows.withColumn("__one", one).where("__one = 1").drop("__one", "__text")
 
 
 def op8_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from matchmart.llm import exact_dedup, sharding
+from matchmart.llm import exact_dedup, near_dedup, packing, quality, sharding
 
 QUERIES = {
+    "op2_minhash_near_dedup": near_dedup.op2_minhash_near_dedup,
+    "op5_weak_supervision": quality.op5_weak_supervision,
     "op8_chunk_recipe_dedup": exact_dedup.op8_chunk_recipe_dedup,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
+    "op10_configuration_packing": packing.op10_configuration_packing,
 }
 
 ORACLE = {
+    "op2_minhash_near_dedup": near_dedup.ORACLE,
     "op8_chunk_recipe_dedup": exact_dedup.ORACLE,
     "op9_hash_tree_shards": sharding.oracle(),
 }

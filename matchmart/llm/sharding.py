@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchmart.llm.common import ORDER_BITS, ranked, table
+from matchmart.llm.common import ORDER_BITS, ranked, staged, table
 
 SHARDS = 40
 RACKS, SHARDS_PER_RACK = 4, 5  # of a region
@@ -89,7 +89,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, weights: dict[int, fl
     rows = place(rows, "__key", tree(shards, weights), "shard")
     rows = place(rows, "__key", tree(shards + 1, weights), "grown_shard")
     by = F.conv(F.substring(F.md5(F.concat(F.col("__key"), F.lit("/slot"))), 1, _HEX), 16, 10).cast("long")
-    rows = ranked(rows.withColumn("__by", by), "shard", "__by", ["doc_id", "size", "text_crc32"], "slot")
+    # Written once: counting and numbering both read the rows.
+    rows = staged(rows.select("doc_id", "size", "text_crc32", "shard", "grown_shard", by.alias("__by")), "shards")
+    rows = ranked(rows, "shard", "__by", ["doc_id", "size", "text_crc32"], "slot")
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
