@@ -5,8 +5,7 @@ program, minimise the number of sequences with every length covered as often
 as it occurs, sees only the histogram of lengths, at most as many rows as a
 sequence has tokens. Multiplicative weights solve it: uncovered lengths grow
 dear, a knapsack dynamic program finds the dearest configuration, and its use
-covers its lengths further. Rounding down leaves a few pieces a configuration;
-best fit places them.
+covers its lengths further. Rounding leaves some pieces, which best fit places.
 
 Spark tokenises, counts lengths, and hands every piece its place: pieces are
 ranked within their length over ranges, so no task holds a length, and a rank
@@ -30,7 +29,8 @@ from matchmart.llm.common import hash_order, ranked, staged, table
 
 CAPACITY = 1024
 END = 2  # the id after each document
-ROUNDS, STEP, HEAT = 1500, 0.25, 4.0
+ROUNDS, HEAT, SLACK = 100, 0.1, 0.01
+SCALES = (0.25, 0.5, 0.75, 0.95)  # quantiles of cover by which uses are divided
 
 Configuration = tuple[tuple[int, int], ...]  # (length, times), longest first
 
@@ -75,44 +75,66 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def dearest(lengths: np.ndarray, price: np.ndarray, most: np.ndarray, capacity: int) -> Configuration:
-    """The configuration of the greatest price: knapsack over the capacity.
-    Lengths ascend; none is used more often than ``most``."""
-    best = np.zeros(capacity + 1)
-    took = np.full(capacity + 1, -1)
+def knapsack(lengths: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(best price of each room up to the capacity, the length taken for it or
+    -1), lengths ascending and usable any number of times."""
+    best, took = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     upto = np.searchsorted(lengths, np.arange(capacity + 1), "right")
-    for w in range(1, capacity + 1):
-        if k := upto[w]:
-            value = best[w - lengths[:k]] + price[:k]
+    for room in range(1, capacity + 1):
+        if k := upto[room]:
+            value = best[room - lengths[:k]] + price[:k]
             i = int(value.argmax())
-            best[w], took[w] = value[i], i
-    used: Counter[int] = Counter()
-    w = capacity
-    while w > 0 and took[w] >= 0:
-        i = int(took[w])
-        used[i] += 1
-        w -= int(lengths[i])
-    return tuple((int(lengths[i]), int(min(n, most[i]))) for i, n in sorted(used.items(), reverse=True))
-
-
-def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[Configuration, float]:
-    """Fractional uses of configurations by multiplicative weights."""
+            best[room], took[room] = value[i], i
+    return best, took
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[Configuration, float], np.ndarray]:
+    """(uses of configurations, how many times over they cover each length) by
+    multiplicative weights.
+
+    A round's knapsack table gives, for every length, the dearest configuration
+    that holds it. All that come within ``SLACK`` of the dearest are used as
+    often as their scarcest length occurs; then each length's price falls by a
+    factor that grows with how far the round covered it. Prices start in
+    proportion to length. Uses divided by a cover are a fractional solution.
+    """
     lengths = np.array(sorted(histogram), np.int64)
     need = np.array([histogram[int(x)] for x in lengths], float)
-    place = {int(x): i for i, x in enumerate(lengths)}
-    covered, uses = np.zeros(len(lengths)), Counter()
-    for _ in range(ROUNDS):
-        share = covered / need
-        if share.min(initial=1) >= 1:
-            break
-        price = lengths / capacity * np.exp(-HEAT * share)
-        config = dearest(lengths, price, need, capacity)
-        at = np.array([place[x] for x, _ in config])
-        times = np.array([n for _, n in config])
-        use = STEP * (need[at] / times).min()
-        uses[config] += use
-        covered[at] += use * times
-    return uses
+    price, covered, uses = lengths / capacity, np.zeros(len(lengths)), Counter()
+    for _ in range(ROUNDS if len(lengths) else 0):
+        best, took = knapsack(lengths, price, capacity)
+        value = price + best[capacity - lengths]
+        now = np.zeros(len(lengths))
+        for i in np.flatnonzero(value >= (1 - SLACK) * value.max()):
+            times, room = Counter({int(i): 1}), capacity - int(lengths[i])
+            while took[room] >= 0:
+                times[int(took[room])] += 1
+                room -= int(lengths[took[room]])
+            use = min(need[j] / n for j, n in times.items())
+            uses[tuple((int(lengths[j]), n) for j, n in sorted(times.items(), reverse=True))] += use
+            for j, n in times.items():
+                now[j] += use * n
+        covered += now / need
+        share = now / need
+        price = price * np.exp(-HEAT * share / share.max())
+        price /= price.max()
+    return uses, covered
+
+
+def rounded(uses: dict[Configuration, float], scale: float, parts: dict[int, int], capacity: int) -> dict[Configuration, int]:
+    """Whole uses: fractions carry over from one configuration to the next, no
+    piece is placed twice, and best fit places what is left."""
+    left, out, carry = Counter(parts), Counter(), 0.0
+    for config, use in sorted(uses.items(), key=lambda c: (-c[1], c[0])):
+        carry += use / scale
+        times = min([int(carry), *(left[x] // n for x, n in config)])
+        carry -= int(carry)
+        if times:
+            out[config] += times
+            for x, n in config:
+                left[x] -= n * times
+    out.update(greedy(left, capacity))
+    return out
 
 
 def greedy(left: dict[int, int], capacity: int) -> dict[Configuration, int]:
@@ -135,21 +157,13 @@ def greedy(left: dict[int, int], capacity: int) -> dict[Configuration, int]:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[Configuration, int]:
-    """Whole uses of configurations that place every piece: the program's,
-    rounded down, and best fit for the rest, or best fit alone where that takes
-    fewer sequences."""
+    """Whole uses of configurations that place every piece: the program's
+    solution, rounded at several scales, or best fit for all pieces, whichever
+    takes the fewest sequences. Pieces as long as a sequence fill their own."""
     parts = {k: v for k, v in histogram.items() if v and k < capacity}
-    left, out = Counter(parts), Counter()
-    for config, use in sorted(solve(parts, capacity).items(), key=lambda c: (-c[1], c[0])):
-        times = min([int(use), *(left[x] // n for x, n in config)])
-        if times:
-            out[config] += times
-            for x, n in config:
-                left[x] -= n * times
-    out.update(greedy(left, capacity))
-    plain = greedy(parts, capacity)
-    if sum(plain.values()) < sum(out.values()):
-        out = plain
+    uses, covered = solve(parts, capacity)
+    tries = [rounded(uses, float(np.quantile(covered, q)), parts, capacity) for q in SCALES if len(covered)]
+    out = min([*tries, greedy(parts, capacity)], key=lambda c: sum(c.values()))
     if histogram.get(capacity):
         out[((capacity, 1),)] += histogram[capacity]
     return out
