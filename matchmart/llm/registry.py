@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from matchmart.llm import exact_dedup, near_dedup, packing, quality, sharding
+from matchmart.llm import (
+    exact_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    repeats,
+    sharding,
+)
 
 QUERIES = {
+    "op1_soft_mixing": mixing.op1_soft_mixing,
     "op2_minhash_near_dedup": near_dedup.op2_minhash_near_dedup,
     "op5_weak_supervision": quality.op5_weak_supervision,
+    "op7_recompression_dedup": repeats.op7_recompression_dedup,
     "op8_chunk_recipe_dedup": exact_dedup.op8_chunk_recipe_dedup,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_configuration_packing": packing.op10_configuration_packing,
@@ -14,6 +24,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_minhash_near_dedup": near_dedup.ORACLE,
+    "op7_recompression_dedup": repeats.ORACLE,
     "op8_chunk_recipe_dedup": exact_dedup.ORACLE,
     "op9_hash_tree_shards": sharding.oracle(),
 }
