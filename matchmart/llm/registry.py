@@ -7,6 +7,7 @@ from matchmart.llm import (
     mixing,
     near_dedup,
     packing,
+    preferences,
     quality,
     repeats,
     sharding,
@@ -15,6 +16,7 @@ from matchmart.llm import (
 QUERIES = {
     "op1_soft_mixing": mixing.op1_soft_mixing,
     "op2_minhash_near_dedup": near_dedup.op2_minhash_near_dedup,
+    "op4_preference_pairs": preferences.op4_preference_pairs,
     "op5_weak_supervision": quality.op5_weak_supervision,
     "op7_recompression_dedup": repeats.op7_recompression_dedup,
     "op8_chunk_recipe_dedup": exact_dedup.op8_chunk_recipe_dedup,
@@ -24,6 +26,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_minhash_near_dedup": near_dedup.ORACLE,
+    "op4_preference_pairs": preferences.ORACLE,
     "op7_recompression_dedup": repeats.ORACLE,
     "op8_chunk_recipe_dedup": exact_dedup.ORACLE,
     "op9_hash_tree_shards": sharding.oracle(),
