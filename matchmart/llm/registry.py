@@ -11,11 +11,13 @@ from matchmart.llm import (
     quality,
     repeats,
     sharding,
+    token_counts,
 )
 
 QUERIES = {
     "op1_soft_mixing": mixing.op1_soft_mixing,
     "op2_minhash_near_dedup": near_dedup.op2_minhash_near_dedup,
+    "op3_edit_aware_counts": token_counts.op3_edit_aware_counts,
     "op4_preference_pairs": preferences.op4_preference_pairs,
     "op5_weak_supervision": quality.op5_weak_supervision,
     "op7_recompression_dedup": repeats.op7_recompression_dedup,
