@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from matchmart.llm import (
     exact_dedup,
+    licenses,
     mixing,
     near_dedup,
     packing,
@@ -20,6 +21,7 @@ QUERIES = {
     "op3_edit_aware_counts": token_counts.op3_edit_aware_counts,
     "op4_preference_pairs": preferences.op4_preference_pairs,
     "op5_weak_supervision": quality.op5_weak_supervision,
+    "op6_license_scan": licenses.op6_license_scan,
     "op7_recompression_dedup": repeats.op7_recompression_dedup,
     "op8_chunk_recipe_dedup": exact_dedup.op8_chunk_recipe_dedup,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
