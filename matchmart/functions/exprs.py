@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Patch pattern ("major.minor" prefix of the game version) and the
 # bot marker used as a participant id.
@@ -47,13 +48,28 @@ def safe_int(x: Column | str) -> Column:
     )
 
 
+def safe_boolean(x: Column | str) -> Column:
+    return _c(x).try_cast("boolean")
+
+
+def typed(x: Column | str, kind: T.DataType) -> Column:
+    """A document leaf (text, or already typed) as ``kind``; what can't be that
+    is NULL."""
+    if isinstance(kind, T.LongType):
+        return safe_bigint(x)
+    if isinstance(kind, T.IntegerType):
+        return safe_int(x)
+    if isinstance(kind, T.BooleanType):
+        return safe_boolean(x)
+    return _c(x).cast(kind)
+
+
 # --- time -------------------------------------------------------------------
 
 
 def epoch_ms_to_s(ms: Column | str) -> Column:
     """Epoch milliseconds -> whole seconds (integer division, P4)."""
-    # Truncating division, as both ``DIV 1000`` and ``(x / 1000).cast(long)``.
-    return (safe_bigint(ms) / F.lit(1000)).cast("bigint")
+    return F.call_function("div", safe_bigint(ms), F.lit(1000).cast("bigint"))
 
 
 def timestamp_string_from_epoch_s(s: Column | str) -> Column:
@@ -115,10 +131,6 @@ def any_element(arr: Column | str, pred: Callable[[Column], Column]) -> Column:
     return F.coalesce(F.exists(_c(arr), pred), F.lit(False))
 
 
-def is_bot_puuid(puuid: Column) -> Column:
-    return puuid == F.lit(BOT_PUUID)
-
-
 def human_ids(participants: Column | str) -> Column:
     """Non-empty, non-bot participant ids of a document, in document order."""
     ids = F.transform(_c(participants), lambda p: p["puuid"])

@@ -163,6 +163,7 @@ def oracle(name: str, body: str) -> None:
 # --- warehouse layers -------------------------------------------------------
 
 oracle("dwd_match", "SELECT * FROM m")
+oracle("dwd_match_mixed_types", "SELECT * FROM m")
 oracle("dwd_player_match", f"SELECT {_P_COLUMNS} FROM p")
 oracle(
     "dim_champion",
@@ -338,8 +339,8 @@ oracle(
     "fanout_reconciliation",
     """SELECT count(*) AS documents,
               CAST(sum(n_participants) AS BIGINT) AS expected_players,
-              CAST(sum(coalesce(n_participants, 0)) AS BIGINT) AS exploded_players,
-              CASE WHEN sum(n_participants) = sum(coalesce(n_participants, 0)) THEN 'PASS' ELSE 'FAIL' END AS status
+              (SELECT count(*) FROM lineitem) AS exploded_players,
+              CASE WHEN sum(n_participants) = (SELECT count(*) FROM lineitem) THEN 'PASS' ELSE 'FAIL' END AS status
        FROM mx""",
 )
 oracle("expected_player_count", "SELECT CAST(sum(n_participants) AS BIGINT) AS expected_count FROM mx")

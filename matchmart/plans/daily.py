@@ -8,8 +8,9 @@ Scale notes:
 * the raw JSON zone is parsed exactly once per run into a columnar document
   table (``ods_match_doc``, Parquet, partitioned by ingest date); both DWD
   builds then read it with nested column pruning instead of re-parsing JSON;
-* the fan-out guard (G2) takes the expected count from that table and the
-  actual count from an ``observe`` on the write itself: no extra pass;
+* guards come before the damage: an empty raw zone leaves the document table
+  as it was, and player rows are staged and counted before they replace the
+  table, so a failed check (G1, G2) leaves every table intact;
 * written tables double as lineage cuts between stages.
 """
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchmart.plans import quality
@@ -39,8 +40,9 @@ from matchmart.plans.warehouse import (
     build_match,
     build_player_match,
 )
-from matchmart.session import path_bytes, size_partitions
-from matchmart.sources.documents import read_documents
+from matchmart.schema import MATCH_SCHEMA
+from matchmart.session import discard, materialize
+from matchmart.sources.documents import READ_SCHEMA, read_documents
 from matchmart.sources.frames import frames_from_documents
 
 DOC_TABLE = "ods_match_doc"
@@ -66,7 +68,6 @@ class DailyConfig:
     jdbc_table: str = "ads_champion_day_metrics_serving"
     jdbc_properties: dict = field(default_factory=dict)
     history_table: str = "dq_check_result"
-    buckets: int | None = 16
 
 
 @dataclass
@@ -96,6 +97,8 @@ def parse_documents(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> Non
     the incremental mode for an append-only raw zone.
     """
     docs = read_documents(spark, cfg.raw_root, cfg.layout, ingest_dates=cfg.parse_ingest_dates)
+    if docs.select(*MATCH_SCHEMA.names).isEmpty():
+        raise EmptySourceError(f"no documents under {cfg.raw_root}; the document table stays as it is")
     mode = "static" if cfg.parse_ingest_dates is None else "dynamic"
     (
         docs.drop("source_file")
@@ -107,10 +110,7 @@ def parse_documents(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> Non
 
 
 def _documents(spark: SparkSession, doc_path: str) -> DataFrame:
-    # Partition values are inferred as DATE; the warehouse keeps them as text.
-    return spark.read.parquet(doc_path).withColumn(
-        "ingest_date", F.col("ingest_date").cast("string")
-    )
+    return spark.read.schema(READ_SCHEMA).parquet(doc_path)
 
 
 def build_dwd_match(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> None:
@@ -126,24 +126,22 @@ def build_dwd_player_match(spark: SparkSession, cfg: DailyConfig, doc_path: str)
         F.sum(F.size("info.participants")).alias("expected"),
     ).first()
     if totals["documents"] == 0:
-        raise EmptySourceError("No match data found in the raw zone")
+        raise EmptySourceError(f"the document table at {doc_path} has no rows")
     if totals["expected"] is None:
-        raise FanoutError("Unable to calculate expected player-match count")
-    obs = Observation("fanout")
-    players = build_player_match(frames_from_documents(docs)).observe(
-        obs, F.count(F.lit(1)).alias("rows")
-    )
-    overwrite_partitions(
-        spark,
-        players,
-        qualified(cfg.database, "dwd_player_match"),
-        full_refresh=cfg.full_refresh_player_match,
-    )
-    actual = obs.get["rows"]
-    if actual != totals["expected"]:
-        raise FanoutError(
-            f"Player-match count mismatch: expected={totals['expected']}, actual={actual}"
+        raise FanoutError("no document has a participants array to count")
+    players = materialize(build_player_match(frames_from_documents(docs)), "player-match")
+    try:
+        actual = players.count()
+        if actual != totals["expected"]:
+            raise FanoutError(f"{actual} player rows from arrays that hold {totals['expected']}")
+        overwrite_partitions(
+            spark,
+            players,
+            qualified(cfg.database, "dwd_player_match"),
+            full_refresh=cfg.full_refresh_player_match,
         )
+    finally:
+        discard(players)
     return int(actual)
 
 
@@ -156,9 +154,7 @@ def run_daily(spark: SparkSession, batch_date: str, cfg: DailyConfig) -> DataFra
     """
     check_batch_date(batch_date)
     db = cfg.database
-    # Shuffle/scan sizing from the input (cluster sessions only).
-    size_partitions(spark, path_bytes(spark, cfg.raw_root))
-    create_tables(spark, db, buckets=cfg.buckets)
+    create_tables(spark, db)
     location = spark.sql(f"DESCRIBE DATABASE {db}").where("info_name = 'Location'").first()["info_value"]
     doc_path = location.rstrip("/") + f"/{DOC_TABLE}"
     t = lambda name: qualified(db, name)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchmart.functions.exprs import (
     date_string_from_epoch_s,
@@ -20,8 +21,9 @@ from matchmart.functions.exprs import (
     safe_int,
     timestamp_from_epoch_s,
     timestamp_string_from_epoch_s,
+    typed,
 )
-from matchmart.schema import PLAYER_COLUMNS
+from matchmart.schema import INFO_FIELDS, PLAYER_COLUMNS
 from matchmart.sources.frames import MatchFrames
 
 DWS_KEYS = ["dt", "patch_version", "queue_id", "champion_id"]
@@ -75,7 +77,7 @@ def build_player_match(frames: MatchFrames) -> DataFrame:
         F.col("gameMode").alias("game_mode"),
         safe_int("queueId").alias("queue_id"),
         patch_version("gameVersion").alias("patch_version"),
-        *[F.col(src).cast(t).alias(out) for out, src, t in PLAYER_COLUMNS],
+        *[typed(src, t).alias(out) for out, src, t in PLAYER_COLUMNS],
         flag(F.col("puuid") == "BOT").alias("is_bot_player"),
         flag(F.col("gameEndedInEarlySurrender") == F.lit(True)).alias("is_early_surrender"),
         F.col("ingest_date").alias("source_ingest_date"),
@@ -294,20 +296,13 @@ class Layers:
 
 # --- text path (ODS raw JSON -> dwd_match) ----------------------------------
 
-# JSON paths of the match document fields read from raw text.
-JSON_PATHS = {
-    "match_id": "$.metadata.matchId",
-    "game_id": "$.info.gameId",
-    "platform_id": "$.info.platformId",
-    "start_ms": "$.info.gameStartTimestamp",
-    "end_ms": "$.info.gameEndTimestamp",
-    "game_duration": "$.info.gameDuration",
-    "game_mode": "$.info.gameMode",
-    "game_type": "$.info.gameType",
-    "queue_id": "$.info.queueId",
-    "map_id": "$.info.mapId",
-    "game_version": "$.info.gameVersion",
-}
+# What the text path reads of a document: the id and the match fields, as text.
+TEXT_SCHEMA = T.StructType(
+    [
+        T.StructField("metadata", T.StructType([T.StructField("matchId", T.StringType())])),
+        T.StructField("info", T.StructType([T.StructField(n, T.StringType()) for n, _ in INFO_FIELDS])),
+    ]
+)
 BOT_PROBE = '"puuid":"BOT"'
 EARLY_SURRENDER_PROBE = '"gameEndedInEarlySurrender":true'
 
@@ -316,27 +311,28 @@ def build_match_from_text(raw: DataFrame) -> DataFrame:
     """``dwd_match`` from raw JSON text ``(raw_json, ingest_date)`` by JSON
     path, as the HiveQL build does (P1, P2, P11, P12).
 
-    Paths are evaluated with ``get_json_object`` and casts are ``try_cast``
-    (bad text becomes NULL instead of failing under ANSI, W1). The flags are
+    One ``from_json`` reads all paths as text, and casts are ``try_cast`` (bad
+    text becomes NULL instead of failing under ANSI, W1). The flags are
     substring probes, which hold only for compact JSON (W3); for documents of
     unknown formatting use ``build_match`` on parsed documents instead.
     """
-    j = {k: F.get_json_object("raw_json", p) for k, p in JSON_PATHS.items()}
-    start_s = epoch_ms_to_s(j["start_ms"])
-    end_s = epoch_ms_to_s(j["end_ms"])
-    return raw.select(
-        j["match_id"].alias("match_id"),
-        safe_bigint(j["game_id"]).alias("game_id"),
-        j["platform_id"].alias("platform_id"),
+    # Alone in its projection, so that no cast below repeats the parse.
+    parsed = raw.select("raw_json", "ingest_date", F.from_json("raw_json", TEXT_SCHEMA).alias("d"))
+    start_s = epoch_ms_to_s(F.col("d.info.gameStartTimestamp"))
+    end_s = epoch_ms_to_s(F.col("d.info.gameEndTimestamp"))
+    return parsed.select(
+        F.col("d.metadata.matchId").alias("match_id"),
+        safe_bigint("d.info.gameId").alias("game_id"),
+        F.col("d.info.platformId").alias("platform_id"),
         timestamp_string_from_epoch_s(start_s).alias("game_start_time"),
         timestamp_string_from_epoch_s(end_s).alias("game_end_time"),
-        safe_int(j["game_duration"]).alias("game_duration"),
-        j["game_mode"].alias("game_mode"),
-        j["game_type"].alias("game_type"),
-        safe_int(j["queue_id"]).alias("queue_id"),
-        safe_int(j["map_id"]).alias("map_id"),
-        j["game_version"].alias("game_version"),
-        patch_version(j["game_version"]).alias("patch_version"),
+        safe_int("d.info.gameDuration").alias("game_duration"),
+        F.col("d.info.gameMode").alias("game_mode"),
+        F.col("d.info.gameType").alias("game_type"),
+        safe_int("d.info.queueId").alias("queue_id"),
+        safe_int("d.info.mapId").alias("map_id"),
+        F.col("d.info.gameVersion").alias("game_version"),
+        patch_version("d.info.gameVersion").alias("patch_version"),
         flag(F.instr("raw_json", BOT_PROBE) > 0).alias("is_bot_match"),
         flag(F.instr("raw_json", EARLY_SURRENDER_PROBE) > 0).alias("is_early_surrender"),
         F.col("ingest_date").cast("string").alias("source_ingest_date"),

@@ -9,8 +9,8 @@ and are written once per input snapshot.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,7 @@ from matchmart.functions.exprs import (
     patch_by_split,
     patch_version,
     timestamp_string_from_epoch_s,
+    typed,
     valid_match,
 )
 from matchmart.operators.graph import (
@@ -33,8 +34,19 @@ from matchmart.operators.graph import (
     seed_players,
 )
 from matchmart.plans import landing, profile, quality
-from matchmart.plans.warehouse import Layers, build_match_from_text, slice_metrics
-from matchmart.session import apply_defaults, path_exists, shared_path, write_marker
+from matchmart.plans.warehouse import (
+    Layers,
+    build_champion_day,
+    build_champion_day_metrics,
+    build_dim_champion,
+    build_dim_patch,
+    build_dim_queue,
+    build_match,
+    build_match_from_text,
+    slice_metrics,
+)
+from matchmart.schema import DOCUMENT_SCHEMA, PARTICIPANT_FIELDS, TEAM_SCHEMA, lenient
+from matchmart.session import apply_defaults, file_states, path_exists, publish_folder, shared_path
 from matchmart.sources.documents import (
     document_text,
     ingest_date_from_path,
@@ -44,7 +56,7 @@ from matchmart.sources.documents import (
     read_raw_text,
 )
 from matchmart.sources.frames import MatchFrames, frames_from_documents
-from matchmart.sources.tables import tables_to_documents, tables_to_frames
+from matchmart.sources.tables import tables_to_documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -70,31 +82,37 @@ def query(name: str):
 # --- inputs -----------------------------------------------------------------
 
 
-_MEMO: dict[tuple, object] = {}
+def frames(spark: SparkSession, sf_dir: str) -> MatchFrames:
+    """The flat form of the landed JSON documents."""
+    return frames_from_documents(documents(spark, sf_dir))
 
 
-def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
-    """Reuse the (lazy) adapter plans for one session and input directory:
-    DataFrames are immutable plans, so sharing them only saves analysis and
-    file listing; every action still runs the full plan."""
-    key = (kind, spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
-    if key not in _MEMO:
-        apply_defaults(spark)
-        _MEMO[key] = build()
-    return _MEMO[key]
+def layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """The layers from the documents, each built from the one below."""
+    return Layers(frames(spark, sf_dir))
 
 
-def frames(spark: SparkSession, sf_dir: str) -> MatchFrames:
-    return _memo("frames", spark, sf_dir, lambda: tables_to_frames(spark, sf_dir))
+def stored_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The layers as stored tables, for what reads a layer: each is built from the
+    stored one below, once per input snapshot."""
+    names = ["dwd_match", "dwd_player_match", "dws_champion_day", "ads_champion_day_metrics"]
+    root = _landed(spark, sf_dir, "layers")
+    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
 
 
-def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    return Layers(frames(spark, sf_dir))
+def _store_layers(spark: SparkSession, sf_dir: str, root: str) -> None:
+    live = layers(spark, sf_dir)
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    live.dwd_match.write.parquet(f"{root}/dwd_match")
+    live.dwd_player_match.write.parquet(f"{root}/dwd_player_match")
+    day = build_champion_day(read("dwd_player_match"), read("dwd_match"))
+    day.write.parquet(f"{root}/dws_champion_day")
+    build_champion_day_metrics(read("dws_champion_day")).write.parquet(f"{root}/ads_champion_day_metrics")
 
 
 def built_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested documents built from the driver tables (the landing input)."""
-    return _memo("built", spark, sf_dir, lambda: tables_to_documents(spark, sf_dir))
+    return tables_to_documents(spark, sf_dir)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,38 +127,35 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_text(spark, staging(spark, sf_dir))
 
 
-LANDING_VERSION = "1"  # bump when the landed layout or document mapping changes
+LANDING_VERSION = "2"  # bump when the landed layout or document mapping changes
 
 
-def _snapshot_tag(sf_dir: str) -> str:
-    """Tag of the input tables (path, size, mtime) and the landing layout
-    version, naming the landed copy."""
-    h = hashlib.sha1(f"{LANDING_VERSION}:{os.path.abspath(sf_dir)}".encode())
-    for t in ("orders", "lineitem", "part"):
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(t.encode())
-    return h.hexdigest()[:16]
+def _snapshot_tag(spark: SparkSession, sf_dir: str) -> str:
+    """Tag of the input tables (every file's name, size and time) and the landing
+    layout version, naming the landed copy."""
+    states = [file_states(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("orders", "lineitem", "part")]
+    return hashlib.sha1(f"{LANDING_VERSION}:{states}".encode()).hexdigest()[:16]
 
 
-_LANDING_LOCK = threading.Lock()
+_LANDING_LOCK = threading.RLock()
 
 
 def _landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
-    """Land the documents once per input snapshot; return the root path."""
-    root = shared_path(spark, f"{layout}-{_snapshot_tag(sf_dir)}")
-    marker = root + "/_LANDED"
+    """Land the documents (or store their layers) once per input snapshot; return
+    the root path. A copy is written under a name of its own and published by
+    one rename, so readers and other applications only ever see whole ones."""
+    root = shared_path(spark, f"{layout}-{_snapshot_tag(spark, sf_dir)}")
     with _LANDING_LOCK:  # queries run from several threads land once
-        if not path_exists(spark, marker):
-            docs = built_documents(spark, sf_dir)
-            if layout == "raw":
-                land_raw(docs, root)
+        if not path_exists(spark, root):
+            apply_defaults(spark)
+            own = f"{root}-{uuid.uuid4().hex}"
+            if layout == "layers":
+                _store_layers(spark, sf_dir, own)
+            elif layout == "raw":
+                land_raw(built_documents(spark, sf_dir), own)
             else:
-                land_jsonl(document_text(docs), root)
-            write_marker(spark, marker)
+                land_jsonl(document_text(built_documents(spark, sf_dir)), own)
+            publish_folder(spark, own, root)
     return root
 
 
@@ -153,12 +168,20 @@ def staging(spark: SparkSession, sf_dir: str) -> str:
 
 
 def quality_inputs(spark: SparkSession, sf_dir: str) -> quality.QualityInputs:
-    lay = layers(spark, sf_dir)
+    lay = stored_layers(spark, sf_dir)
     return quality.QualityInputs(
-        lay.dwd_match, lay.dwd_player_match, lay.dws_champion_day, lay.ads_champion_day_metrics
+        lay["dwd_match"], lay["dwd_player_match"], lay["dws_champion_day"], lay["ads_champion_day_metrics"]
     )
 
 
+_KIND = dict(PARTICIPANT_FIELDS)
+
+
+def _player(field: str, column: str = "p"):
+    """A participant's field, cast from its text."""
+    return typed(f"{column}.{field}", _KIND[field])
+
+
 # --- scans / sources --------------------------------------------------------
 
 
@@ -213,15 +236,8 @@ def q_ods_raw(spark, sf_dir):
 @query("layer_row_counts")
 def q_layer_row_counts(spark, sf_dir):
     """S6, A1, PF4: row count of each of the four layers (one union)."""
-    lay = layers(spark, sf_dir)
-    parts = [
-        ("dwd_match", lay.dwd_match),
-        ("dwd_player_match", lay.dwd_player_match),
-        ("dws_champion_day", lay.dws_champion_day),
-        ("ads_champion_day_metrics", lay.ads_champion_day_metrics),
-    ]
     out = None
-    for name, df in parts:
+    for name, df in stored_layers(spark, sf_dir).items():
         c = df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(name).alias("layer"), "cnt")
         out = c if out is None else out.unionByName(c)
     return out
@@ -331,15 +347,15 @@ def q_explode_participants(spark, sf_dir):
     )
     return e.select(
         "match_id",
-        F.col("player.participantId").alias("participant_id"),
-        F.col("player.puuid").alias("puuid"),
-        F.col("player.championId").alias("champion_id"),
+        _player("participantId", "player").alias("participant_id"),
+        _player("puuid", "player").alias("puuid"),
+        _player("championId", "player").alias("champion_id"),
     )
 
 
 @query("kda_ratio")
 def q_kda_ratio(spark, sf_dir):
-    a = layers(spark, sf_dir).ads_champion_day_metrics
+    a = build_champion_day_metrics(stored_layers(spark, sf_dir)["dws_champion_day"])
     return a.select("dt", "patch_version", "queue_id", "champion_id", "kda_ratio")
 
 
@@ -387,17 +403,17 @@ def q_participant_identity(spark, sf_dir):
     )
     return e.select(
         "match_id",
-        F.col("p.participantId").alias("participant_id"),
-        F.col("p.puuid").alias("puuid"),
-        F.col("p.riotIdGameName").alias("riot_id_game_name"),
-        F.col("p.riotIdTagline").alias("riot_id_tagline"),
-        F.col("p.teamId").alias("team_id"),
-        F.col("p.championId").alias("champion_id"),
-        F.col("p.championName").alias("champion_name"),
-        F.col("p.kills").alias("kills"),
-        F.col("p.deaths").alias("deaths"),
-        F.col("p.assists").alias("assists"),
-        F.col("p.win").alias("win"),
+        _player("participantId").alias("participant_id"),
+        _player("puuid").alias("puuid"),
+        _player("riotIdGameName").alias("riot_id_game_name"),
+        _player("riotIdTagline").alias("riot_id_tagline"),
+        _player("teamId").alias("team_id"),
+        _player("championId").alias("champion_id"),
+        _player("championName").alias("champion_name"),
+        _player("kills").alias("kills"),
+        _player("deaths").alias("deaths"),
+        _player("assists").alias("assists"),
+        _player("win").alias("win"),
     )
 
 
@@ -405,7 +421,9 @@ def q_participant_identity(spark, sf_dir):
 def q_team_rows(spark, sf_dir):
     docs = documents(spark, sf_dir)
     e = docs.select(F.col("metadata.matchId").alias("match_id"), F.explode("info.teams").alias("t"))
-    return e.select("match_id", F.col("t.teamId").alias("team_id"), F.col("t.win").alias("win"))
+    return e.select("match_id", *[
+        typed(f"t.{f.name}", f.dataType).alias(n) for f, n in zip(TEAM_SCHEMA.fields, ("team_id", "win"))
+    ])
 
 
 # --- warehouse layers -------------------------------------------------------
@@ -416,6 +434,21 @@ def q_dwd_match(spark, sf_dir):
     return layers(spark, sf_dir).dwd_match
 
 
+@query("dwd_match_mixed_types")
+def q_dwd_match_mixed_types(spark, sf_dir):
+    """D1 on documents whose numbers arrive as text or as decimals: equal to D1."""
+    raw = raw_text(spark, sf_dir)
+    number = r'"(gameId|gameStartTimestamp|gameEndTimestamp|gameDuration|queueId|mapId)":([0-9]+)'
+    third = F.pmod(F.xxhash64("raw_json"), F.lit(3))
+    mixed = (
+        F.when(third == 0, F.regexp_replace("raw_json", number, '"$1":"$2"'))
+        .when(third == 1, F.regexp_replace("raw_json", number, '"$1":$2.0'))
+        .otherwise(F.col("raw_json"))
+    )
+    docs = raw.select(F.from_json(mixed, lenient(DOCUMENT_SCHEMA)).alias("d"), "ingest_date")
+    return build_match(frames_from_documents(docs.select("d.*", "ingest_date")))
+
+
 @query("dwd_player_match")
 def q_dwd_player_match(spark, sf_dir):
     return layers(spark, sf_dir).dwd_player_match
@@ -423,33 +456,34 @@ def q_dwd_player_match(spark, sf_dir):
 
 @query("dim_champion")
 def q_dim_champion(spark, sf_dir):
-    return layers(spark, sf_dir).dim_champion
+    return build_dim_champion(stored_layers(spark, sf_dir)["dwd_player_match"])
 
 
 @query("dim_queue")
 def q_dim_queue(spark, sf_dir):
-    return layers(spark, sf_dir).dim_queue
+    return build_dim_queue(stored_layers(spark, sf_dir)["dwd_match"])
 
 
 @query("dim_patch")
 def q_dim_patch(spark, sf_dir):
-    return layers(spark, sf_dir).dim_patch
+    return build_dim_patch(stored_layers(spark, sf_dir)["dwd_match"])
 
 
 @query("dws_champion_day")
 def q_dws(spark, sf_dir):
-    return layers(spark, sf_dir).dws_champion_day
+    lay = stored_layers(spark, sf_dir)
+    return build_champion_day(lay["dwd_player_match"], lay["dwd_match"])
 
 
 @query("ads_champion_day_metrics")
 def q_ads(spark, sf_dir):
-    return layers(spark, sf_dir).ads_champion_day_metrics
+    return build_champion_day_metrics(stored_layers(spark, sf_dir)["dws_champion_day"])
 
 
 @query("ads_slice")
 def q_ads_slice(spark, sf_dir):
     """dashboard slice (queue and date range)."""
-    return slice_metrics(layers(spark, sf_dir).ads_champion_day_metrics, **SLICE)
+    return slice_metrics(stored_layers(spark, sf_dir)["ads_champion_day_metrics"], **SLICE)
 
 
 # --- quality ----------------------------------------------------------------
@@ -478,14 +512,15 @@ def q_dq_summary(spark, sf_dir):
 
 @query("fanout_reconciliation")
 def q_fanout(spark, sf_dir):
-    """Rows after explode = sum of array sizes (one pass over documents)."""
+    """Rows after explode = sum of array sizes."""
     docs = documents(spark, sf_dir)
-    size = F.size("info.participants")
-    # A document contributes its size once and one row per exploded element;
-    # both sums come from the same scan.
-    per_doc = docs.select(size.alias("n"), F.coalesce(size, F.lit(0)).alias("rows"))
-    agg = per_doc.agg(
-        F.count(F.lit(1)).alias("documents"),
+    none = F.lit(None).cast("int")
+    sized = docs.select(F.lit(1).alias("doc"), F.size("info.participants").alias("n"), none.alias("rows"))
+    exploded = docs.select(F.explode("info.participants.puuid")).select(
+        none.alias("doc"), none.alias("n"), F.lit(1).alias("rows")
+    )
+    agg = sized.unionByName(exploded).agg(
+        F.count("doc").alias("documents"),
         F.sum("n").cast("bigint").alias("expected_players"),
         F.sum("rows").cast("bigint").alias("exploded_players"),
     )
@@ -523,9 +558,7 @@ def q_valid_matches_any_map(spark, sf_dir):
 
 
 def _profile_input(spark, sf_dir):
-    """One row per document. The flat frame carries the same per-document
-    facts as the nested documents (see ``frames_from_documents``) without
-    building the arrays."""
+    """One row per landed document."""
     return frames(spark, sf_dir).matches
 
 
@@ -643,7 +676,7 @@ def q_compact_jsonl(spark, sf_dir):
     fr, manifest = _manifest(spark, sf_dir)
     raw = read_raw_text(spark, staging(spark, sf_dir)).where(F.col("ingest_date") == BATCH_DATE)
     compacted = landing.compact_batch(raw, manifest, BATCH_DATE)
-    out = shared_path(spark, f"compact-{_snapshot_tag(sf_dir)}-{BATCH_DATE}")
+    out = shared_path(spark, f"compact-{_snapshot_tag(spark, sf_dir)}-{BATCH_DATE}")
     land_jsonl(compacted, out)
     written = read_raw_text(spark, out).where(F.col("ingest_date") == BATCH_DATE)
     return landing.compaction_reconciliation(written, manifest.select("match_id"), BATCH_DATE)

@@ -60,7 +60,7 @@ TEAM_SCHEMA = T.StructType(
     ]
 )
 
-# Match-level fields under ``info`` (besides the two arrays).
+# Match-level fields under ``info`` (besides the two arrays). Fixed values, as above.
 INFO_FIELDS: list[tuple[str, T.DataType]] = [
     ("gameId", T.LongType()),
     ("platformId", T.StringType()),
@@ -112,9 +112,21 @@ DOCUMENT_SCHEMA = T.StructType(
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-# Read schema: the document plus the corrupt-record column.
+
+def lenient(kind: T.DataType) -> T.DataType:
+    """The same type with STRING leaves. Documents are read so: a number or a
+    boolean that arrives as text, or a whole number as a decimal, keeps its
+    value and is cast where it is used, instead of becoming NULL at the scan."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, lenient(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(lenient(kind.elementType), True)
+    return T.StringType()
+
+
+# Read schema: the document with STRING leaves plus the corrupt-record column.
 MATCH_SCHEMA = T.StructType(
-    DOCUMENT_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
+    lenient(DOCUMENT_SCHEMA).fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
 )
 
 # ---------------------------------------------------------------------------
@@ -150,27 +162,6 @@ PARTICIPANT_HEADER_COLUMNS = [
 # Warehouse layers
 # ---------------------------------------------------------------------------
 
-DWD_MATCH_SCHEMA = T.StructType(
-    [
-        T.StructField("match_id", T.StringType()),
-        T.StructField("game_id", T.LongType()),
-        T.StructField("platform_id", T.StringType()),
-        T.StructField("game_start_time", T.StringType()),
-        T.StructField("game_end_time", T.StringType()),
-        T.StructField("game_duration", T.IntegerType()),
-        T.StructField("game_mode", T.StringType()),
-        T.StructField("game_type", T.StringType()),
-        T.StructField("queue_id", T.IntegerType()),
-        T.StructField("map_id", T.IntegerType()),
-        T.StructField("game_version", T.StringType()),
-        T.StructField("patch_version", T.StringType()),
-        T.StructField("is_bot_match", T.IntegerType()),
-        T.StructField("is_early_surrender", T.IntegerType()),
-        T.StructField("source_ingest_date", T.StringType()),
-        T.StructField("dt", T.StringType()),
-    ]
-)
-
 # Player row: (output column, participant field, type). Fixed mapping.
 PLAYER_COLUMNS: list[tuple[str, str, T.DataType]] = [
     ("participant_id", "participantId", T.IntegerType()),
@@ -202,17 +193,6 @@ PLAYER_COLUMNS: list[tuple[str, str, T.DataType]] = [
     ("win", "win", T.BooleanType()),
 ]
 
-DWS_MEASURES = [
-    "match_count",
-    "win_count",
-    "loss_count",
-    "total_kills",
-    "total_deaths",
-    "total_assists",
-    "total_gold",
-    "total_damage",
-]
-
 DQ_RESULT_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),
@@ -243,10 +223,7 @@ DWD_PLAYER_MATCH_DDL = ", ".join(
     + ["is_bot_player INT", "is_early_surrender INT", "source_ingest_date STRING", "dt STRING"]
 )
 
-# Detail tables bucketed by match id (same bucket count): the summary join
-# and the per-match quality aggregates then read co-partitioned data.
-BUCKET_COLUMNS = {"dwd_match": "match_id", "dwd_player_match": "match_id"}
-
+# Table columns, in table order.
 LAYER_DDL = {
     "dwd_player_match": (DWD_PLAYER_MATCH_DDL, "dt"),
     "dwd_match": (

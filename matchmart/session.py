@@ -55,12 +55,10 @@ def get_session(
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Apply the runtime-settable defaults to an existing session."""
+    """Apply the defaults, all settable at run time, to an existing session. A
+    session that refuses one (ANSI, UTC) would give other results, so it raises."""
     for k, v in SESSION_DEFAULTS.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep what is there
-            pass
+        spark.conf.set(k, v)
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
@@ -109,62 +107,50 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    back = spark.read.parquet(path)
+    back.materialized_at = path
+    return back
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (Hadoop content summary)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
-def size_partitions(
-    spark: SparkSession,
-    input_bytes: int,
-    target_bytes: int = 256 << 20,
-    split_bytes: int = 256 << 20,
-) -> int:
-    """Size shuffles and scan splits for an input of ``input_bytes``.
-
-    The shuffle partition count becomes the AQE *initial* count: about
-    ``input_bytes / target_bytes`` (at least twice the cores), so no shuffle
-    partition of an expanded intermediate outgrows executor memory; AQE then
-    coalesces small ones to the advisory size. Scan splits are capped at
-    ``split_bytes``. Local sessions keep their own settings.
-    """
-    if spark.sparkContext.master.startswith("local"):
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(2 * spark.sparkContext.defaultParallelism, -(-input_bytes // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 << 20))
-    return n
+def discard(*frames) -> None:
+    """Delete what ``materialize`` wrote, once nothing reads it any more."""
+    for df in frames:
+        spark = df.sparkSession
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def write_marker(spark: SparkSession, path: str) -> None:
-    """Create an empty marker file (completion flag) through Hadoop FS.
+def publish_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Give the finished folder ``staged`` the name ``path`` in one rename. If
+    ``path`` is there by now, another writer of the same was first: theirs stays."""
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        if not fs.exists(dst):
+            raise RuntimeError(f"could not publish {staged} as {path}")
+        fs.delete(src, True)
 
-    A dynamic-partition-overwrite write leaves no ``_SUCCESS`` at the output
-    root, so completion of a landing is recorded explicitly.
-    """
+
+def file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of every file under ``path``, by the
+    Hadoop FileSystem of the path, so remote tables are seen as they are."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.create(hpath, True).close()
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (only used by tests that inspect files)."""
-    return path[5:] if path.startswith("file:") else path
+    if not fs.exists(hpath):
+        return []
+    found, files = [], fs.listFiles(hpath, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), int(f.getLen()), int(f.getModificationTime())))
+    return sorted(found)
 
 
 __all__ = [
     "SESSION_DEFAULTS",
     "apply_defaults",
     "get_session",
-    "local_path",
     "path_exists",
     "scratch_dir",
     "shared_path",

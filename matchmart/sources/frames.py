@@ -21,11 +21,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchmart.functions.exprs import any_element
+from matchmart.functions.exprs import any_element, safe_boolean, typed
 from matchmart.schema import (
     CORRUPT_COLUMN,
     INFO_FIELDS,
-    MATCH_FRAME_COLUMNS,
     PARTICIPANT_FIELDS,
     PARTICIPANT_HEADER_COLUMNS,
 )
@@ -36,18 +35,10 @@ class MatchFrames:
     matches: DataFrame
     participants: DataFrame
 
-    def select_columns(self) -> "MatchFrames":
-        """Pin column order (and drop extras) on both frames."""
-        return MatchFrames(
-            self.matches.select(*MATCH_FRAME_COLUMNS),
-            self.participants.select(
-                *PARTICIPANT_HEADER_COLUMNS, *[n for n, _ in PARTICIPANT_FIELDS]
-            ),
-        )
-
 
 def frames_from_documents(docs: DataFrame) -> MatchFrames:
-    """Split nested documents (``metadata``, ``info``, ``ingest_date``).
+    """Split nested documents (``metadata``, ``info``, ``ingest_date``) whose
+    leaves are text or typed; every leaf is cast leniently to its type here.
 
     Narrow: no exchange is added. ``explode`` drops documents whose
     participants array is NULL or empty, as the reference does (W9).
@@ -65,24 +56,19 @@ def frames_from_documents(docs: DataFrame) -> MatchFrames:
     matches = docs.select(
         F.col("metadata.matchId").alias("match_id"),
         F.col("ingest_date").cast("string").alias("ingest_date"),
-        *[F.col(f"info.{n}").alias(n) for n, _ in INFO_FIELDS],
+        *[typed(f"info.{n}", t).alias(n) for n, t in INFO_FIELDS],
         F.size(parts).alias("n_participants"),
         any_element(parts, lambda p: p["puuid"] == "BOT").alias("has_bot"),
-        any_element(parts, lambda p: p["gameEndedInEarlySurrender"]).alias(
+        any_element(parts, lambda p: safe_boolean(p["gameEndedInEarlySurrender"])).alias(
             "has_early_surrender"
         ),
-        any_element(parts, lambda p: p["gameEndedInSurrender"]).alias("has_surrender"),
+        any_element(parts, lambda p: safe_boolean(p["gameEndedInSurrender"])).alias("has_surrender"),
         corrupt.alias("is_corrupt"),
     )
     header = {
         "match_id": F.col("metadata.matchId"),
         "ingest_date": F.col("ingest_date").cast("string"),
-        "gameId": F.col("info.gameId"),
-        "platformId": F.col("info.platformId"),
-        "gameStartTimestamp": F.col("info.gameStartTimestamp"),
-        "gameMode": F.col("info.gameMode"),
-        "queueId": F.col("info.queueId"),
-        "gameVersion": F.col("info.gameVersion"),
+        **{n: typed(f"info.{n}", t) for n, t in INFO_FIELDS if n in PARTICIPANT_HEADER_COLUMNS},
     }
     exploded = docs.select(
         *[c.alias(n) for n, c in header.items()],
@@ -90,6 +76,6 @@ def frames_from_documents(docs: DataFrame) -> MatchFrames:
     )
     participants = exploded.select(
         *PARTICIPANT_HEADER_COLUMNS,
-        *[F.col(f"p.{n}").alias(n) for n, _ in PARTICIPANT_FIELDS],
+        *[typed(f"p.{n}", t).alias(n) for n, t in PARTICIPANT_FIELDS],
     )
     return MatchFrames(matches, participants)

@@ -4,12 +4,8 @@ One order is one match, one line item is one participant; ``part`` supplies
 the champion. The field expressions are the fixture mapping (FIXTURES.md §2).
 Only the columns a mapping needs are read, so the parquet scans prune.
 
-``tables_to_frames`` produces the flat ``MatchFrames`` without building arrays:
-participant rows are line items joined to their order (and part), and the
-document-level facts are a partially aggregated rollup of line items by order
-joined back to the orders. ``tables_to_documents`` additionally nests the
-participants of each match; it is only used where the nested document itself
-is the subject (JSON text, files, key listings).
+``tables_to_documents`` nests the participants of each match; the documents are
+landed as files, and everything downstream reads those.
 """
 
 from __future__ import annotations
@@ -17,13 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchmart.operators.joins import join_dimension
 from matchmart.schema import (
     INFO_FIELDS,
     PARTICIPANT_FIELDS,
-    PARTICIPANT_HEADER_COLUMNS,
 )
-from matchmart.sources.frames import MatchFrames
 
 # Fixed values of the fixture mapping.
 INGEST_DATE_EVEN = "2026-08-16"
@@ -34,33 +27,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Scan-parallelism guard.
-
-    A table stored as one file with one row group scans as a single task, and
-    everything fused into that stage (joins with broadcast sides, projections)
-    then runs single-threaded. When the scan has fewer partitions than the
-    default parallelism, hash-partition it on its join key: deterministic on
-    retry, and the later joins/aggregations on that key can reuse it. Inputs
-    of many files or row groups (any real scale) already have enough
-    partitions and are left untouched, so no shuffle is added there.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave as is
-        return df
-    if have < target:
-        return df.repartition(target, key)
-    return df
-
-
 # --- match header -----------------------------------------------------------
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
-    return spread(read_table(spark, sf_dir, "orders").select(*cols), "o_orderkey")
+    return read_table(spark, sf_dir, "orders").select(*cols)
 
 
 def _header_exprs() -> dict[str, Column]:
@@ -110,7 +82,7 @@ def _teams() -> Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "lineitem").select(
+    return read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
@@ -121,7 +93,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_tax",
         "l_returnflag",
         "l_linestatus",
-    ), "l_orderkey")
+    )
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,64 +142,9 @@ def _participant_exprs() -> dict[str, Column]:
     return exprs
 
 
-def _participant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order columns and part (size-checked broadcast).
-
-    Orders first: both sides are clustered by the order key, so that join
-    needs no exchange when their partitionings already match; the part join
-    (a dimension) comes after.
-    """
-    orders = _orders(spark, sf_dir)
-    lines = _lines(spark, sf_dir).join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    return join_dimension(
-        lines,
-        _parts(spark, sf_dir),
-        F.col("l_partkey") == F.col("p_partkey"),
-        "left",
-    )
-
-
 # --- public -----------------------------------------------------------------
 
 
-def tables_to_frames(spark: SparkSession, sf_dir: str) -> MatchFrames:
-    """Flat ``MatchFrames`` straight from the driver tables (no arrays)."""
-    header = _header_exprs()
-    pexprs = _participant_exprs()
-
-    rows = _participant_rows(spark, sf_dir)
-    participants = rows.select(
-        *[header[n].alias(n) for n in PARTICIPANT_HEADER_COLUMNS],
-        *[pexprs[n].alias(n) for n, _ in PARTICIPANT_FIELDS],
-    )
-
-    # Document-level facts: partial aggregation on line items, one row per order.
-    per_order = _lines(spark, sf_dir).groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).cast("int").alias("n_participants"),
-        F.max(F.col("l_suppkey") % 50 == 0).alias("_any_bot"),
-        F.max(F.col("l_linenumber") == 1).alias("_any_first"),
-        F.max(F.col("l_linestatus") == "F").alias("_any_f"),
-    )
-    orders = _orders(spark, sf_dir).join(
-        per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    )
-    matches = orders.select(
-        header["match_id"].alias("match_id"),
-        header["ingest_date"].alias("ingest_date"),
-        *[header[n].alias(n) for n, _ in INFO_FIELDS],
-        F.col("n_participants"),
-        F.coalesce(F.col("_any_bot"), F.lit(False)).alias("has_bot"),
-        F.coalesce((F.col("o_orderstatus") == "P") & F.col("_any_first"), F.lit(False)).alias(
-            "has_early_surrender"
-        ),
-        F.coalesce((F.col("o_orderstatus") == "F") & F.col("_any_f"), F.lit(False)).alias(
-            "has_surrender"
-        ),
-        F.lit(False).alias("is_corrupt"),
-    )
-    return MatchFrames(matches, participants)
-
-
 def tables_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested documents: ``metadata``, ``info``, ``ingest_date``.
 
@@ -237,11 +154,8 @@ def tables_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     header = _header_exprs()
     pexprs = _participant_exprs()
-    lines = join_dimension(
-        _lines(spark, sf_dir),
-        _parts(spark, sf_dir),
-        F.col("l_partkey") == F.col("p_partkey"),
-        "left",
+    lines = _lines(spark, sf_dir).join(
+        _parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"), "left"
     )
     # One left join: every order keeps its row; the group key is the order's
     # own columns, so the header needs no second join. collect_list skips the
@@ -270,15 +184,3 @@ def tables_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         info.alias("info"),
         header["ingest_date"].alias("ingest_date"),
     )
-
-
-def document_json(docs: DataFrame, pretty: bool = False) -> Column:
-    """Document JSON text (NULL fields are omitted, as absent keys)."""
-    opts = {"pretty": "true"} if pretty else {}
-    return F.to_json(F.struct("metadata", "info"), opts)
-
-
-def tables_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-text rows ``(raw_json, ingest_date)`` in compact JSON (the ODS form)."""
-    docs = tables_to_documents(spark, sf_dir)
-    return docs.select(document_json(docs).alias("raw_json"), "ingest_date")

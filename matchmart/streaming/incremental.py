@@ -5,10 +5,14 @@ gives for free: the source's checkpoint records which files were processed,
 so each run with ``trigger(availableNow=True)`` reads only files that arrived
 since the last run, then stops. Each micro-batch:
 
-1. keeps one document per id (a re-fetched document is the same document);
-2. drops ids already in the landed document table (first save wins);
+1. sets documents without an id (corrupt files, NULL or '' ids) aside, in the
+   quarantine table, each with its source file;
+2. keeps one document per id (the earliest ingest date, then file; a re-fetched
+   document is the same document) and drops ids already landed (first save wins);
 3. appends the rest to the landed table, partitioned by ``ingest_date``;
-4. appends one manifest row per new id (batch, id, validity).
+4. appends one manifest row per new id (batch, id, validity);
+5. appends one accounting row, and fails unless every document of the batch was
+   landed, a duplicate or set aside.
 
 The sink is idempotent per micro-batch id: a batch replayed after a failure
 (an executor or the driver lost between the write and the checkpoint
@@ -37,6 +41,14 @@ class IncrementalLanding:
     layout: str = "raw"  # "raw" (multi-line) or "jsonl"
     max_files_per_trigger: int | None = None
 
+    @property
+    def quarantine_path(self) -> str:
+        return self.landed_path.rstrip("/") + "_quarantine"
+
+    @property
+    def accounting_path(self) -> str:
+        return self.landed_path.rstrip("/") + "_accounting"
+
 
 def _landed_ids(spark: SparkSession, path: str) -> DataFrame | None:
     if not path_exists(spark, path):
@@ -52,11 +64,9 @@ def _process(cfg: IncrementalLanding):
         #    a recomputation can never see the batch's own appends.
         stage = f"{cfg.checkpoint.rstrip('/')}/staged/batch={batch_id}"
         if not path_exists(spark, stage + "/_SUCCESS"):
-            keyed = (
-                batch.where(F.col("metadata.matchId").isNotNull())
-                .withColumn("match_id", F.col("metadata.matchId"))
-                .dropDuplicates(["match_id"])
-            )
+            named = batch.withColumn("match_id", F.col("metadata.matchId")).where("match_id <> ''")
+            first = F.expr("row_number() OVER (PARTITION BY match_id ORDER BY ingest_date, source_file)")
+            keyed = named.withColumn("_n", first).where("_n = 1").drop("_n")
             landed = _landed_ids(spark, cfg.landed_path)
             fresh = keyed if landed is None else keyed.join(landed, "match_id", "left_anti")
             fresh.drop("source_file").write.mode("overwrite").parquet(stage)
@@ -69,6 +79,12 @@ def _process(cfg: IncrementalLanding):
             cfg.landed_path
         )
 
+        # Documents without an id; a partition a batch, so a replay replaces its own.
+        aside = batch.where("coalesce(metadata.matchId, '') = ''").withColumn("batch_id", F.lit(batch_id))
+        aside.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
+            cfg.quarantine_path
+        )
+
         # 3. Manifest rows for this batch id (idempotent on replay).
         rows = frames_from_documents(staged.drop("match_id")).matches.select(
             F.col("ingest_date").alias("batch_date"),
@@ -84,10 +100,29 @@ def _process(cfg: IncrementalLanding):
             )
             rows = rows.join(done, "match_id", "left_anti")
         rows.write.mode("append").parquet(cfg.manifest_path)
+        _account(spark, cfg, batch, staged, batch_id)
 
     return run
 
 
+def _account(spark: SparkSession, cfg: IncrementalLanding, batch: DataFrame, staged: DataFrame, batch_id: int) -> None:
+    """One row a batch: documents in, landed, duplicates, quarantined."""
+    seen = batch.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce("metadata.matchId", F.lit("")) == "").alias("unnamed")
+    ).first()
+    landed = staged.count()
+    aside = 0
+    if path_exists(spark, f"{cfg.quarantine_path}/batch_id={batch_id}"):
+        aside = spark.read.parquet(f"{cfg.quarantine_path}/batch_id={batch_id}").count()
+    if aside != seen["unnamed"] or landed > seen["n"] - aside:
+        raise RuntimeError(f"batch {batch_id}: of {seen['n']} documents {landed} landed and {aside} were set aside")
+    row = [(batch_id, seen["n"], landed, seen["n"] - aside - landed, aside)]
+    columns = "batch_id long, documents long, landed long, duplicates long, quarantined long"
+    spark.createDataFrame(row, columns).coalesce(1).write.mode("overwrite").parquet(
+        f"{cfg.accounting_path}/batch={batch_id}"
+    )
+
+
 def run_incremental_landing(spark: SparkSession, cfg: IncrementalLanding) -> None:
     """Process every file that arrived since the last run, then stop."""
     reader = spark.readStream.schema(READ_SCHEMA)

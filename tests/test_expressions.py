@@ -89,12 +89,3 @@ def test_kda_guard_and_valid_match(spark):
     assert rows[0]["kda"] == 7.0 and rows[1]["kda"] == 3.5 and rows[2]["kda"] is None
     assert [r["v"] for r in rows] == [True, False, False]
     assert [r["v_any"] for r in rows] == [True, False, False]
-
-
-def test_size_partitions_keeps_local_settings(spark, tmp_path):
-    from matchmart.session import path_bytes, size_partitions
-
-    (tmp_path / "f.txt").write_text("x" * 1000)
-    assert path_bytes(spark, str(tmp_path)) == 1000
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    assert size_partitions(spark, 10**15) == int(before)  # local: unchanged

@@ -2,9 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
-from matchmart.operators.joins import bounded_broadcast, estimated_bytes
+from matchmart.registry import QUERIES
 
 
 def plan_of(df) -> str:
@@ -13,7 +12,7 @@ def plan_of(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan_of(fn(spark, SF_SMALL)) for name, fn in entry.queries().items()}
+    return {name: plan_of(fn(spark, SF_SMALL)) for name, fn in QUERIES.items()}
 
 
 def test_no_pairwise_joins(plans):
@@ -26,12 +25,24 @@ def test_no_python_in_query_plans(plans):
     assert bad == []
 
 
+def test_detail_layers_read_documents(plans):
+    for name in ("dwd_match", "dwd_player_match", "player_flags", "profile_basic", "valid_matches"):
+        assert "FileScan json" in plans[name]
+    assert "Generate explode" in plans["dwd_player_match"]
+    assert "Generate explode" in plans["fanout_reconciliation"]
+
+
 def test_scans_are_pruned(plans):
-    p = plans["dws_champion_day"]
-    # only the columns the mapping needs are read
-    for unused in ("l_shipdate", "l_commitdate", "o_totalprice", "p_name", "p_retailprice"):
-        assert unused not in p.split("ReadSchema")[-1] or unused not in p
-    assert "ReadSchema: struct<l_orderkey:bigint" in p
+    # Only the columns the summary needs are read from the stored layers, and
+    # only the fields a projection needs are parsed.
+    scan = plans["dws_champion_day"]
+    assert "wards_placed" not in scan and "item_0" not in scan
+    assert "wardsPlaced" not in plans["explode_participants"]
+
+
+def test_text_path_parses_once(plans):
+    assert plans["json_path_extract"].count("from_json") == 1
+    assert "get_json_object" not in plans["json_path_extract"]
 
 
 def test_no_query_gathers_groups_into_arrays(plans):
@@ -41,24 +52,11 @@ def test_no_query_gathers_groups_into_arrays(plans):
     assert bad == []
 
 
-def test_broadcast_respects_size_bound(spark):
-    small = spark.range(10)
-    assert estimated_bytes(small) == 80  # 10 longs
-    hinted = bounded_broadcast(small, 10**9)
-    not_hinted = bounded_broadcast(small, 1)
-    assert "ResolvedHint" in str(hinted._jdf.queryExecution().analyzed())
-    assert "ResolvedHint" not in str(not_hinted._jdf.queryExecution().analyzed())
-
-
 def test_no_broadcast_when_threshold_disabled(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        from matchmart.plans.warehouse import Layers
-        from matchmart.sources.tables import tables_to_frames
-
-        dws = Layers(tables_to_frames(spark, SF_SMALL)).dws_champion_day
-        p = plan_of(dws)
+        p = plan_of(QUERIES["dws_champion_day"](spark, SF_SMALL))
         assert "BroadcastExchange" not in p and "SortMergeJoin" in p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

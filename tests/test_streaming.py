@@ -30,7 +30,7 @@ def test_incremental_landing(spark, tmp_path):
     landed = spark.read.parquet(cfg.landed_path)
     assert landed.count() == 3
     m1 = landed.where("metadata.matchId = 'M_1'").first()
-    assert m1["info"]["gameDuration"] == 1800 and str(m1["ingest_date"]) == "2026-08-16"
+    assert m1["info"]["gameDuration"] == "1800" and str(m1["ingest_date"]) == "2026-08-16"
     man = {r["match_id"]: r for r in spark.read.parquet(cfg.manifest_path).collect()}
     assert set(man) == {"M_1", "M_2", "M_3"}
     assert man["M_2"]["is_valid"] is False and man["M_3"]["is_valid"] is True
@@ -56,3 +56,25 @@ def test_micro_batch_replay_is_idempotent(spark, tmp_path):
     run(batch, 0)  # replay of the same batch id
     assert spark.read.parquet(cfg.landed_path).count() == 2
     assert spark.read.parquet(cfg.manifest_path).count() == 2
+
+
+def test_every_document_is_accounted_for(spark, tmp_path):
+    src = str(tmp_path / "drop")
+    cfg = IncrementalLanding(
+        source_root=src,
+        landed_path=str(tmp_path / "landed"),
+        manifest_path=str(tmp_path / "manifest"),
+        checkpoint=str(tmp_path / "ckpt"),
+    )
+    nameless, blank = document("M_9", ten()), document("M_8", ten())
+    nameless["metadata"]["matchId"] = None
+    blank["metadata"]["matchId"] = ""
+    docs = [document("M_1", ten()), document("M_1", ten(), duration=99), nameless, blank, blank]
+    write_docs(src, "2026-08-16", docs, names=[f"d{i}.json" for i in range(5)])
+    (tmp_path / "drop" / "ingest_date=2026-08-16" / "broken.json").write_text("{not json")
+    run_incremental_landing(spark, cfg)
+    row = spark.read.parquet(f"{cfg.accounting_path}/*").first()
+    assert (row["documents"], row["landed"], row["duplicates"], row["quarantined"]) == (6, 1, 1, 4)
+    aside = spark.read.parquet(cfg.quarantine_path)
+    assert aside.count() == 4 and aside.select("source_file").distinct().count() == 4
+    assert spark.read.parquet(cfg.landed_path).first()["info"]["gameDuration"] == "1800"
