@@ -248,16 +248,31 @@ oracle("kda_ratio", "SELECT dt, patch_version, queue_id, champion_id, kda_ratio
 oracle("human_players", "SELECT match_id, puuid FROM p WHERE puuid IS NOT NULL AND puuid <> '' AND puuid <> 'BOT'")
 
 
-def _document_keys_sql() -> str:
-    from matchmart.schema import INFO_FIELDS, PARTICIPANT_FIELDS
+# Fixed values, stated here apart from the code under test: the fields that a
+# document, a participant and a profile have.
+_INFO_KEYS = (
+    "gameId platformId gameCreation gameStartTimestamp gameEndTimestamp gameDuration "
+    "gameMode gameType gameVersion mapId queueId"
+).split()
+_PARTICIPANT_KEYS = (
+    "participantId puuid riotIdGameName riotIdTagline teamId championId championName champLevel "
+    "teamPosition individualPosition kills deaths assists goldEarned totalDamageDealtToChampions "
+    "totalDamageTaken totalMinionsKilled neutralMinionsKilled visionScore wardsPlaced wardsKilled "
+    "item0 item1 item2 item3 item4 item5 item6 win gameEndedInEarlySurrender gameEndedInSurrender"
+).split()
+_REQUIRED_KEYS = (
+    "gameStartTimestamp gameEndTimestamp gameDuration gameMode gameType gameVersion mapId platformId queueId"
+).split()
+
 
+def _document_keys_sql() -> str:
     rows = [("document", "metadata", "true"), ("document", "info", "true")]
-    for name, _ in INFO_FIELDS:
+    for name in _INFO_KEYS:
         cond = "EXISTS (SELECT 1 FROM mx WHERE version IS NOT NULL)" if name == "gameVersion" else "true"
         rows.append(("info", name, cond))
     rows.append(("info", "participants", "EXISTS (SELECT 1 FROM mx WHERE n_participants IS NOT NULL)"))
     rows.append(("info", "teams", "true"))
-    for name, _ in PARTICIPANT_FIELDS:
+    for name in _PARTICIPANT_KEYS:
         rows.append(("participant", name, "EXISTS (SELECT 1 FROM p)"))
     parts = [f"SELECT '{s}' AS scope, '{k}' AS key WHERE {c}" for s, k, c in rows]
     return " UNION ALL ".join(parts)
@@ -403,8 +418,6 @@ oracle(
 
 
 def _missing_sql() -> str:
-    from matchmart.schema import REQUIRED_MATCH_FIELDS
-
     expr = {
         "gameStartTimestamp": "start_ms",
         "gameEndTimestamp": "start_ms + duration * 1000",
@@ -419,7 +432,7 @@ def _missing_sql() -> str:
     parts = [
         "SELECT 'metadata.matchId' AS field, count(*) FILTER (WHERE match_id IS NULL OR match_id = '') AS missing_count FROM mx"
     ]
-    for f in REQUIRED_MATCH_FIELDS:
+    for f in _REQUIRED_KEYS:
         parts.append(f"SELECT '{f}', count(*) FILTER (WHERE ({expr[f]}) IS NULL) FROM mx")
     return (
         "SELECT field, missing_count FROM (" + " UNION ALL ".join(parts) + ") t "

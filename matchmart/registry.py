@@ -48,6 +48,7 @@ from matchmart.plans.warehouse import (
 from matchmart.schema import DOCUMENT_SCHEMA, PARTICIPANT_FIELDS, TEAM_SCHEMA, lenient
 from matchmart.session import apply_defaults, file_states, path_exists, publish_folder, shared_path
 from matchmart.sources.documents import (
+    compactable_text,
     document_text,
     ingest_date_from_path,
     land_jsonl,
@@ -671,10 +672,10 @@ def q_manifest_missing(spark, sf_dir):
 
 @query("compact_jsonl")
 def q_compact_jsonl(spark, sf_dir):
-    """Compact the batch's raw documents to JSONL, write, read back
-    and reconcile the line count with the manifest."""
+    """Compact the batch's documents from the pretty raw zone to JSONL,
+    write, read back and reconcile the line count with the manifest."""
     fr, manifest = _manifest(spark, sf_dir)
-    raw = read_raw_text(spark, staging(spark, sf_dir)).where(F.col("ingest_date") == BATCH_DATE)
+    raw = compactable_text(spark, raw_zone(spark, sf_dir)).where(F.col("ingest_date") == BATCH_DATE)
     compacted = landing.compact_batch(raw, manifest, BATCH_DATE)
     out = shared_path(spark, f"compact-{_snapshot_tag(spark, sf_dir)}-{BATCH_DATE}")
     land_jsonl(compacted, out)

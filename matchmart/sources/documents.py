@@ -3,9 +3,9 @@
 Layouts (all partitioned by ``ingest_date=YYYY-MM-DD``):
 
 * raw zone: pretty-printed JSON, read with ``multiLine``. A file holds one
-  document or a JSON array of documents; we land arrays of at most
-  ``docs_per_file`` documents so that a batch is not millions of tiny files,
-  the bottleneck of the one-file-per-match layout at scale;
+  document or a JSON array of documents; we land arrays bounded by documents
+  and by bytes, so that a batch is neither millions of tiny files nor a few
+  that can't be split;
 * staging: compact JSON Lines, one document per line (also the ODS raw-text
   table ``(raw_json, ingest_date)``).
 
@@ -16,9 +16,6 @@ path from the ``_metadata`` column.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +24,7 @@ from matchmart.schema import MATCH_SCHEMA
 
 INGEST_DATE_PATTERN = r"ingest_date=([0-9]{4}-[0-9]{2}-[0-9]{2})"
 DEFAULT_DOCS_PER_FILE = 1000
+DEFAULT_BYTES_PER_FILE = 16 << 20
 
 READ_SCHEMA = T.StructType(
     MATCH_SCHEMA.fields + [T.StructField("ingest_date", T.StringType(), True)]
@@ -81,54 +79,58 @@ def read_raw_text(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-# --- writes -----------------------------------------------------------------
+def compactable_text(spark: SparkSession, root: str) -> DataFrame:
+    """``(raw_json, ingest_date)`` of the pretty raw zone, one row per document:
+    a file holds a document or an array of them, parsed as VARIANT, so unknown
+    fields and NULLs stay."""
+    files = spark.read.schema(RAW_TEXT_SCHEMA).text(root, wholetext=True)
+    parsed = files.select("ingest_date", F.try_parse_json("value").alias("v"))
+    one = F.schema_of_variant("v").startswith("OBJECT")
+    docs = parsed.select(
+        "ingest_date",
+        F.explode(
+            F.when(one, F.array("v")).otherwise(F.try_variant_get("v", "$", "array<variant>"))
+        ).alias("d"),
+    )
+    return docs.select(F.to_json("d").alias("raw_json"), "ingest_date")
 
 
-def _chunk_arrays(docs_per_file: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Per task: group this partition's documents by date into arrays of at
-        # most ``docs_per_file``. Only string joining happens here; the JSON
-        # text itself was produced by to_json on the JVM.
-        pending: dict[str, list[str]] = {}
-        for pdf in batches:
-            for date, text in zip(pdf["ingest_date"], pdf["doc"]):
-                bucket = pending.setdefault(date, [])
-                bucket.append(text)
-                if len(bucket) >= docs_per_file:
-                    yield pd.DataFrame(
-                        {"ingest_date": [date], "value": ["[ " + ", ".join(bucket) + " ]"]}
-                    )
-                    pending[date] = []
-        for date, bucket in pending.items():
-            if bucket:
-                yield pd.DataFrame(
-                    {"ingest_date": [date], "value": ["[ " + ", ".join(bucket) + " ]"]}
-                )
-
-    return run
+# --- writes -----------------------------------------------------------------
 
 
 def land_raw(
     docs: DataFrame,
     root: str,
     docs_per_file: int = DEFAULT_DOCS_PER_FILE,
+    bytes_per_file: int = DEFAULT_BYTES_PER_FILE,
     mode: str = "overwrite",
 ) -> None:
     """Write documents to the raw zone as pretty JSON.
 
-    With the session's dynamic partition overwrite, re-landing a batch replaces
-    only its ``ingest_date`` partitions (``put -f`` semantics). No shuffle:
-    each task writes its own documents.
+    A file is one JSON array of at most ``docs_per_file`` documents that hold
+    about ``bytes_per_file`` characters at most (a longer document is a file of
+    its own). With the session's dynamic partition overwrite, re-landing a batch
+    replaces only its ``ingest_date`` partitions (``put -f`` semantics).
     """
     text = docs.select(
         F.col("ingest_date").cast("string").alias("ingest_date"),
         F.to_json(F.struct("metadata", "info"), {"pretty": "true"}).alias("doc"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    # Runs of neighbouring rows, then of bytes within a run: both groupings use
+    # one shuffle, and a group is bounded by the run.
+    text = text.withColumn("run", F.expr(f"id div {docs_per_file}"))
+    before = F.expr(
+        "sum(length(doc)) OVER (PARTITION BY ingest_date, run ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
-    chunks = text.mapInPandas(
-        _chunk_arrays(docs_per_file), "ingest_date string, value string"
+    text = text.withColumn("part", F.coalesce(before, F.lit(0)))
+    text = text.withColumn("part", F.expr(f"part div {bytes_per_file}"))
+    arrays = text.groupBy("ingest_date", "run", "part").agg(
+        F.concat(F.lit("[ "), F.array_join(F.collect_list("doc"), ", "), F.lit(" ]")).alias("value")
     )
     (
-        chunks.write.mode(mode)
+        arrays.select("ingest_date", "value")
+        .write.mode(mode)
         .partitionBy("ingest_date")
         .option("maxRecordsPerFile", 1)
         .text(root)
