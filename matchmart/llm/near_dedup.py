@@ -12,8 +12,10 @@ Documents with 100 * common >= 75 * union are linked, and links make groups.
 3. Components by large-star and small-star. Buckets whose members still lie in
    different components are compared on, first the remaining pairs with the
    smallest id, then pairs across components: a pair is compared unless it is
-   already in one component, so no link between different texts is lost and a
-   group of similar documents never makes all its pairs.
+   already in one component or the sets' profiles (how many shingles fall into
+   each of 128 classes) show that too few can be common. So no link between
+   different texts is lost, and a group of similar documents never makes all
+   its pairs.
 
 Sets travel only for the documents of surviving pairs.
 """
@@ -36,8 +38,10 @@ BANDS, ROWS = 50, 6
 #: Linked when 100 * common >= PERCENT * union.
 PERCENT = 75
 #: Least agreeing bytes of two signatures of BANDS * ROWS bytes. Sets at 0.75
-#: agree in 225 of 300 (standard deviation 7.5); eight deviations below.
-LEAST_AGREEING = 165
+#: agree in 225 of 300 (standard deviation 7.5); six deviations below.
+LEAST_AGREEING = 180
+
+PROFILE = 128  # classes of shingles
 
 _seeds = np.random.default_rng(11)
 _MULTIPLY = _seeds.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -139,6 +143,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 1024):
+            part = batch.slice(i, 1024)
+            sets = [np.frombuffer(s.as_py(), np.uint64) for s in part.column(1)]
+            counts = [np.bincount((s >> np.uint64(40)).astype(np.int64) % PROFILE, minlength=PROFILE) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(counts, pa.list_(pa.int32()))],
+                names=["x", "n", "profile"],
+            )
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = []
@@ -155,7 +171,16 @@ class _Groups:
     def __init__(self, docs: DataFrame, reps: DataFrame):
         self.docs, self.reps, self.links = docs, reps, []
 
-    def compare(self, pairs: DataFrame, name: str, pick: bool = False) -> DataFrame:
+    def sets(self, ids: DataFrame, name: str) -> DataFrame:
+        """(id, shingles) of the distinct ids of a column ``id``, staged."""
+        needed = staged(ids.distinct(), f"{name}-ids")
+        texts = self.docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id", "left_semi")
+        # Of rows that repeat an id, one.
+        found = staged(texts.mapInArrow(_sets, "id long, shingles binary").dropDuplicates(["id"]), f"{name}-sets")
+        dropped(needed)
+        return found
+
+    def compare(self, pairs: DataFrame, name: str, pick: bool = False, sets: DataFrame | None = None) -> DataFrame:
         """Compare the distinct pairs (x, y, m); returns the signature-checked
         ones, staged. ``pick``: confirm only the best pair of each x."""
         sign = self.reps.select(F.col("doc_id").alias("id"), "signature")
@@ -172,10 +197,9 @@ class _Groups:
             # aggregate pre-combines a hot x or y before the shuffle.
             top = near.groupBy("x").agg(F.max("m").alias("m"))
             chosen = near.join(top, ["x", "m"]).groupBy("x").agg(F.min("y").alias("y"))
-        needed = staged(chosen.select(F.explode(F.array("x", "y")).alias("id")).distinct(), f"{name}-ids")
-        texts = self.docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id", "left_semi")
-        # Rows that repeat an id: one of them, the same as in the signatures.
-        sets = staged(texts.mapInArrow(_sets, "id long, shingles binary").dropDuplicates(["id"]), f"{name}-sets")
+        own = sets is None
+        if own:
+            sets = self.sets(chosen.select(F.explode(F.array("x", "y")).alias("id")), name)
         links = staged(
             chosen.select("x", "y")
             .join(sets.withColumnsRenamed({"id": "x", "shingles": "set_x"}), "x")
@@ -184,7 +208,8 @@ class _Groups:
             .mapInArrow(_linked, "x long, y long"),
             f"{name}-links",
         )
-        dropped(needed, sets)
+        if own:
+            dropped(sets)
         self.links.append(links)
         return near
 
@@ -244,11 +269,18 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
     mixed = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
     open_ = staged(labelled.join(mixed.select("band"), "band", "left_semi"), "mixed-buckets")
-    left = open_.where("x <> y")
-    right = left.selectExpr("band", "x AS y", "c AS d")
-    cross = left.drop("y").join(right, "band").where("x < y AND c <> d").select("x", "y").distinct()
-    third = groups.compare(cross.withColumn("m", F.lit(1).cast("long")), "cross")
-    dropped(third, comps, members)
+    # Two sets share at most the sum of the smaller counts of their profiles.
+    sets = groups.sets(open_.select(F.col("x").alias("id")), "open")
+    profile = sets.mapInArrow(_profiles, "x long, n long, profile array<int>")
+    left = staged(open_.drop("y").join(profile, "x"), "open-members")
+    right = left.selectExpr("band", "x AS y", "c AS d", "n AS ny", "profile AS profile_y")
+    most = "aggregate(zip_with(profile, profile_y, (a, b) -> least(a, b)), 0, (a, b) -> a + b)"
+    near_by = F.expr(
+        f"left.band = right.band AND x < y AND c <> d AND {100 + PERCENT} * {most} >= {PERCENT} * (n + ny)"
+    )
+    cross = left.alias("left").join(right.alias("right"), near_by).select("x", "y").distinct()
+    third = groups.compare(cross.withColumn("m", F.lit(1).cast("long")), "cross", sets=sets)
+    dropped(third, comps, members, sets, left)
     comps = groups.components()
     dropped(open_, reps, *groups.links)
 
