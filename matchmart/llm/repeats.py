@@ -156,6 +156,15 @@ def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi, _, _, a, b in _sliced(batch.column(0)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), batch.column(0).slice(lo, hi - lo)],
+                names=["a", "b", "text"],
+            )
+
+
 # --- what occurs twice --------------------------------------------------------
 
 _ENTRY = np.dtype([("h", "<u8"), ("g", "<u4"), ("a", "<i8"), ("b", "<i8"), ("at", "<i4")])
@@ -314,7 +323,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     and lose none; texts under 35 words lose none; texts are read whole,
     however long. Rows of equal words are windows of each other, so both lose
     all (35 words or more), repeated rows too; null ids are rows like any
-    other; an empty table gives none.
+    other (their texts are told apart by their words); an empty table gives none.
     """
     spark = docs.sparkSession
     buckets = 4 * shuffle_width(spark)
@@ -330,15 +339,20 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     texts = staged(texts, "text-classes")
     entries = docs.select("text").mapInArrow(_entries(buckets, _anchor_entries), _ENTRIES)
     hits = staged(occurring_twice(entries).select("a", "at"), "anchor-hits")
-    # One text of each class that has such an anchor, or a word running.
-    wanted = (
-        texts.where("copies = 1 OR rep IS NOT NULL")
-        .join(hits, "a", "left")
-        .where("at IS NOT NULL OR runs")
-        .select(F.col("rep").alias("id"), "a", "b", "at")
+    # One text of each class that has such an anchor, or a word running: by the
+    # class's smallest id, or, where all its rows lack one, by its key.
+    wanted = texts.join(hits, "a", "left").where("at IS NOT NULL OR runs").select("rep", "a", "b", "at")
+    named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), "text")
+    nameless = docs.where("doc_id IS NULL").select("text").mapInArrow(_keyed, "a long, b long, text string")
+    columns = ["text", "a", "b", "at"]
+    near = staged(
+        named.join(wanted.where("rep IS NOT NULL"), "rep")
+        .select(*columns)
+        .union(
+            nameless.dropDuplicates(["a", "b"]).join(wanted.where("rep IS NULL"), ["a", "b"]).select(*columns)
+        ),
+        "near-repeats",
     )
-    own = docs.select(F.col("doc_id").alias("id"), "text")
-    near = staged(own.join(wanted, own.id.eqNullSafe(wanted.id)).select("text", "a", "b", "at"), "near-repeats")
     windows = near.mapInArrow(_entries(buckets, _window_entries), _ENTRIES)
     found = staged(occurring_twice(windows), "repeats")
     dropped(hits)

@@ -345,6 +345,14 @@ def test_substring_dedup(docs):
     assert sum(r["n_removed"] > 0 for r in got) > 10
 
 
+def test_substring_dedup_without_ids(spark):
+    rows = [(None, r[1]) for r in ROWS[:40]]
+    kept = brute.without_repeats(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(r["kept_sha256"] for r in repeats.substring_dedup(df).collect())
+    assert got == Counter(hashlib.sha256(" ".join(k).encode()).hexdigest() for k in kept)
+
+
 def test_substring_dedup_of_running_words(spark):
     """Repeats made of few different words, where names give little hold."""
     rng = random.Random(6)
