@@ -365,7 +365,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     )
     clean = staged(clean.dropDuplicates(["a", "b"]), "cleaned")
     dropped(near, found)
-    result = texts.select("a", "b", "copies").join(clean, ["a", "b"], "left").where("copies > 1 OR n_removed > 0")
+    # A union, not a join: both sides of the next join are then shuffled for it
+    # alone, so the rows of a large group of copies can be split.
+    result = texts.where("copies > 1").selectExpr(
+        "a", "b", "copies", "CAST(NULL AS BIGINT) AS n_removed", "CAST(NULL AS STRING) AS kept_text"
+    ).union(clean.where("n_removed > 0").selectExpr("a", "b", "1L AS copies", "n_removed", "kept_text"))
     rows = base.join(result, ["a", "b"], "left")
     copied = F.coalesce(F.col("copies"), F.lit(1)) > 1
     return rows.select(
