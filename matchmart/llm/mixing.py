@@ -29,6 +29,8 @@ BUCKETS = 1 << 16  # hashed words
 #: Labelled documents that the classifier learns from, at most: those whose id
 #: hashes smallest.
 TRAIN_ROWS = 20_000
+#: Log prior of a domain without labelled documents: no text's words outweigh it.
+ABSENT = -1e9
 ROUNDS, RIDGE, TOLERANCE = 40, 1e-3, 1e-7
 
 #: Default weights of the mix.
@@ -51,10 +53,11 @@ def label_domain() -> Column:
 @dataclass(frozen=True)
 class Model:
     """Of each domain the log prior and BUCKETS log weights: a size that does
-    not depend on the corpus."""
+    not depend on the corpus. ``learned``: some labelled document had words."""
 
     priors: list[float]
     weights: list[list[float]]
+    learned: bool
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
@@ -62,8 +65,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     Learns from at most ``rows`` labelled documents, a bounded broadcast. Of
     labels that repeat a document the worst counts; labels without a domain or
-    an id are left out; a domain without labelled documents has no prior and
-    so a posterior of almost 0. Without any labels all domains weigh the same.
+    an id are left out; a domain without labelled documents has a posterior of
+    0. Without any labels all domains weigh the same.
     """
     known = (
         labels.groupBy("doc_id")
@@ -82,12 +85,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     ks = range(len(DOMAINS))
     sums = [F.sum(F.when(F.col("domain") == k, F.col("n"))).alias(f"n{k}") for k in ks]
     weights = [[0.5] * BUCKETS for _ in ks]
-    for row in counts.groupBy("bucket").agg(*sums).collect():  # BUCKETS rows at most
+    found = counts.groupBy("bucket").agg(*sums).collect()  # BUCKETS rows at most
+    for row in found:
         for k in ks:
             weights[k][row["bucket"]] += row[f"n{k}"] or 0
     logs = [[round(math.log(n / total), 3) for n in w] for w in weights for total in [sum(w)]]
     seen = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return Model([math.log(seen.get(k, 0) + 1e-3) for k in ks], logs)
+    priors = [math.log(seen[k] + 1e-3) if seen.get(k) else ABSENT for k in ks]
+    return Model(priors, logs, bool(found))
 
 
 def posteriors(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
@@ -141,7 +146,10 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], upper: float | None =
 
     Targets are weights of the mix; a domain without one is free. The mix has
     as many tokens as the table, or, with rates bounded by ``upper``, as many as
-    the bound lets all targets have. A target for a domain without any mass
+    the bound lets the domain of the greatest weight have. Under a bound the
+    other weights are ceilings: a domain too scarce for its weight is taken as
+    far as the bound goes and lowers no other; the one of the greatest weight
+    makes up for it as far as it can. A target for a domain without any mass
     can't be met, and is left out.
     """
     sums = lambda r: [F.sum(r * F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS]
@@ -155,9 +163,13 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], upper: float | None =
     if weight <= 0:
         return []
     mass = sum(share[d] for d in goal)
+    main = max(goal, key=goal.get)
     if upper is not None:
-        mass = min([mass, *(upper * share[d] * weight / w for d, w in goal.items() if w > 0)])
+        mass = min(mass, upper * share[main] * weight / goal[main])
     goal = {d: w / weight * mass for d, w in goal.items()}
+    if upper is not None:
+        goal = {d: min(g, upper * share[d]) for d, g in goal.items()}
+        goal[main] = min(upper * share[main], mass - sum(g for d, g in goal.items() if d != main))
     history: list[list[float]] = []
     now = dict(share)
     for _ in range(ROUNDS):
@@ -189,8 +201,11 @@ def sample(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> Dat
     """The rows of ``docs``, with all their columns, that a mix with rates of at
     most 1 draws: a row stays where a hash of its id, spread over [0, 1), is
     below its rate. No join moves the texts: rates follow from the text and the
-    fitted steps alone."""
+    fitted steps alone. Without labelled documents nothing tells domains apart,
+    and all rows stay."""
     model = train(docs, labels)
+    if not model.learned:
+        return docs
     soft = staged(posteriors(docs, model, []), "mix-posteriors")
     history = fit_rates(soft, targets, upper=1.0)
     dropped(soft)

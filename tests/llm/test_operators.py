@@ -126,6 +126,44 @@ def test_mixing_awkward_rows(docs, labels):
         assert r["rate"] >= 0 and abs(r["p_low"] + r["p_clean"] + r["p_toxic"] - 1) < 1e-9
 
 
+@pytest.mark.parametrize("toxic", [0.3, 0.01, 1e-4, 1e-6, 0.0])
+def test_capped_mix_keeps_clean_when_toxic_is_scarce(spark, toxic):
+    """One-hot posteriors; the toxic weight 0.02 is a ceiling."""
+    import corpus_pipeline
+
+    rows = [(round(1e7 * (1 - toxic)), 0.0, 1.0, 0.0), (round(1e7 * toxic), 0.0, 0.0, 1.0), (5000, 1.0, 0.0, 0.0)]
+    soft = spark.createDataFrame(rows, "n_tokens long, p_low double, p_clean double, p_toxic double")
+    history = mixing.fit_rates(soft, corpus_pipeline.MIX, upper=1.0)
+    low, clean, bad = (
+        max(soft.where(f"p_{d} = 1").select(mixing.rate(history, 1.0).alias("r")).first()["r"], 0.0) for d in mixing.DOMAINS
+    )
+    assert low > 1 - 1e-9 and clean > 1 - 1e-3
+    if toxic > 0.02:
+        assert bad * rows[1][0] / (clean * rows[0][0]) == pytest.approx(0.02 / 0.98, abs=0.002)
+    else:
+        assert clean > 1 - 1e-9 and bad > 1 - 1e-9
+
+
+@pytest.mark.parametrize("n_toxic", [10, 2, 0, None])
+def test_mixing_stage_keeps_a_clean_corpus(spark, n_toxic):
+    """At most 1% toxic, or (None) no labels at all: every row stays."""
+    import corpus_pipeline
+    from unittest.mock import patch
+
+    rng = random.Random(9)
+    rows, marks = [], []
+    for i in range(1000):
+        toxic = i < (n_toxic or 0)
+        words = rng.choices([f"{'bad' if toxic else 'good'}{k}" for k in range(20)], k=40)
+        rows.append((i, " ".join(words) + ("" if i % 50 else f" unseen{i}" * 30), "s"))
+        marks.append((i, 1, int(toxic)))
+    labels = spark.createDataFrame([] if n_toxic is None else [m for m in marks if m[0] % 50 or m[2]], EMPTY_LABELS)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    with patch.object(corpus_pipeline, "table", lambda *a: labels):
+        kept = corpus_pipeline.mixing_stage(spark, docs, "")
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(1000))
+
+
 # --- 2 near-dedup ---------------------------------------------------------------
 
 
