@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in W.text_slices(batch.column(1), K.SLICE):
-                ids, at = K.encode_slice(buf, offsets)
+                ids, at = K.encode_slice(buf, offsets, added=True)
                 row, number, start, length, crc = [], [], [], [], []
                 for r in range(hi - lo):
                     own = np.append(ids[at[r] : at[r + 1]], np.uint32(END)).astype("<u4")

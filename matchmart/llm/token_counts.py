@@ -72,7 +72,7 @@ def build_trees(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in W.text_slices(batch.column(1), K.SLICE):
-                starts, counts = K.unit_counts(buf, offsets)
+                starts, counts = K.unit_counts(buf, offsets, added=True)
                 first = np.searchsorted(starts, offsets)
                 sizes, trees = [], []
                 for r in range(hi - lo):
@@ -166,7 +166,7 @@ def apply_edits(trees: DataFrame) -> DataFrame:
         ]
         # All stretches of the slice are encoded together.
         bounds = np.concatenate([[0], np.cumsum([len(j[3]) for j in jobs])]).astype(np.int64)
-        starts, counts = K.unit_counts(np.frombuffer(b"".join(j[3] for j in jobs), np.uint8), bounds)
+        starts, counts = K.unit_counts(np.frombuffer(b"".join(j[3] for j in jobs), np.uint8), bounds, added=True)
         first = np.searchsorted(starts, bounds)
         again = np.zeros(len(texts), np.int64)
         pieces: dict[int, list] = {}

@@ -5,18 +5,23 @@ follows another character than white space. No pre-token crosses such a
 place, so a text's ids are its units' ids in order. Texts repeat units all the
 time; each is encoded once a batch. The ids are those of the tokenizer file's
 own vocabulary and merges, read from its rank file (the same vocabulary; tests
-compare whole tables with the ``tokenizers`` library). Strings of special
-tokens in a text are ordinary text.
+compare whole tables with the ``tokenizers`` library). With ``added``, a string
+of the file's added tokens is a unit of its own and has its own id, as in
+``tokenizers``; what is before and after it is encoded as if it were alone.
+Without, it is ordinary text.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 
 import numpy as np
 import pyarrow as pa
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 SLICE = 8 << 20  # bytes of texts encoded together
 _JOIN = 20_000  # units encoded in one call
@@ -46,6 +51,42 @@ def encoding():
     return made
 
 
+def added_tokens() -> tuple[dict[bytes, int], re.Pattern | None]:
+    """(ids of the tokenizer file's added tokens, the pattern that finds them);
+    made once a worker."""
+    import public_tokenizers
+    import tiktoken
+
+    made = getattr(tiktoken, "_byte_bpe_50k_added", None)
+    if made is None:
+        with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as f:
+            entries = json.load(f)["added_tokens"]
+        for e in entries:
+            if e["single_word"] or e["lstrip"] or e["rstrip"] or e["normalized"]:
+                raise ValueError(f"added token {e['content']!r} has options that aren't supported")
+        ids = {e["content"].encode(): e["id"] for e in entries}
+        longest = sorted(ids, key=len, reverse=True)
+        made = tiktoken._byte_bpe_50k_added = (ids, re.compile(b"|".join(map(re.escape, longest))) if ids else None)
+    return made
+
+
+def _added_edges(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the added tokens of the texts of a slice begin and end."""
+    pattern = added_tokens()[1]
+    raw = memoryview(np.ascontiguousarray(buf))
+    if pattern is None or not pattern.search(raw):
+        return np.zeros(0, np.int64)
+    # Text by text: a token never lies across two.
+    edges = [
+        x
+        for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist())
+        for m in pattern.finditer(raw, lo, hi)
+        for x in m.span()
+        if x < hi
+    ]
+    return np.array(edges, np.int64)
+
+
 def _after_other_space(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Whether a white space character that is no break ends just before ``at``
     (or might: some punctuation counts too, which only makes longer units)."""
@@ -60,7 +101,7 @@ def _after_other_space(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     )
 
 
-def unit_starts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def unit_starts(buf: np.ndarray, offsets: np.ndarray, added: bool = False) -> np.ndarray:
     """Where the units of the texts of a slice begin (a text's start always does)."""
     at = _BREAK[buf]
     begin = np.flatnonzero(at[1:] & ~at[:-1]) + 1
@@ -69,10 +110,12 @@ def unit_starts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     first = np.zeros(len(buf), bool)
     first[begin] = True
     first[offsets[:-1][np.diff(offsets) > 0]] = True
+    if added:
+        first[_added_edges(buf, offsets)] = True
     return np.flatnonzero(first)
 
 
-def encode_distinct(units: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def encode_distinct(units: pa.LargeBinaryArray, added: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(a pool of ids, where each unit's begin in it, and how many there are)."""
     encoder, lengths = encoding()
     at = np.frombuffer(units.buffers()[1], np.int64)[: len(units) + 1]
@@ -81,6 +124,7 @@ def encode_distinct(units: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray,
     # pre-tokens when they are joined: one call encodes many.
     plain = _BREAK[data[at[:-1]]] & ~_BREAK[data[at[1:] - 1]] & ~_after_other_space(data, at[1:])
     counts, begin, pools, done = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), [], 0
+    special = added_tokens()[0] if added else {}
     inner = np.flatnonzero(plain)
     for lo in range(0, len(inner), _JOIN):
         part = inner[lo : lo + _JOIN]
@@ -94,7 +138,8 @@ def encode_distinct(units: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray,
         pools.append(ids)
         done += len(ids)
     for i in np.flatnonzero(~plain):
-        ids = np.array(encoder.encode_ordinary(units[i].as_py().decode()), np.uint32)
+        unit = units[i].as_py()
+        ids = np.array([special[unit]] if unit in special else encoder.encode_ordinary(unit.decode()), np.uint32)
         begin[i], counts[i] = done, len(ids)
         pools.append(ids)
         done += len(ids)
@@ -110,22 +155,22 @@ def distinct(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, pa.LargeB
     return units.indices.to_numpy(), units.dictionary
 
 
-def unit_counts(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def unit_counts(buf: np.ndarray, offsets: np.ndarray, added: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(starts of the units of a slice, number of ids of each)."""
-    starts = unit_starts(buf, offsets)
+    starts = unit_starts(buf, offsets, added)
     if not len(starts):
         return starts, np.zeros(0, np.int64)
     name, units = distinct(buf, starts)
-    return starts, encode_distinct(units)[2][name]
+    return starts, encode_distinct(units, added)[2][name]
 
 
-def encode_slice(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def encode_slice(buf: np.ndarray, offsets: np.ndarray, added: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts of a slice, where each text's begin: rows + 1)."""
-    starts = unit_starts(buf, offsets)
+    starts = unit_starts(buf, offsets, added)
     if not len(starts):
         return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
     name, units = distinct(buf, starts)
-    pool, begin, counts = encode_distinct(units)
+    pool, begin, counts = encode_distinct(units, added)
     begin, counts = begin[name], counts[name]
     total = np.concatenate([[0], np.cumsum(counts)])
     take = np.arange(total[-1]) + np.repeat(begin - total[:-1], counts)

@@ -527,3 +527,58 @@ def test_token_units_are_exact(tokenizer):
         ids, at = K.encode_slice(buf, offsets)
         got += [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
     assert got == tokenizer(texts)
+
+
+@pytest.fixture(scope="module")
+def default_tokenizer():
+    """The tokenizer file as it is: its added tokens have ids of their own."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda texts: [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+
+def with_added_tokens(seed, n):
+    rng = random.Random(seed)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "\t", "\x0b", "\xa0", "a", "b'", ".", "é", " the"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(n)]
+
+
+def test_added_tokens_have_their_own_ids(default_tokenizer):
+    import pyarrow as pa
+
+    from matchmart.llm import tokens as K
+    from matchmart.llm import words as W
+
+    # A token across two texts is none.
+    texts = ["a <|endoftext|> b", "<|endof", "text|>", None, "", "<|endoftext|>", "x<|endoftext|>", *with_added_tokens(8, 3000)]
+    got = []
+    for _, _, buf, offsets in W.text_slices(pa.array(texts), 2000):
+        ids, at = K.encode_slice(buf, offsets, added=True)
+        got += [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+    assert got[0] == [64, 220, 50256, 275]
+    assert got == default_tokenizer(texts)
+
+
+def test_packing_and_counts_with_added_tokens(spark, default_tokenizer):
+    rng = random.Random(10)
+    texts = ["a <|endoftext|> b", *("".join(with_added_tokens(s, 40)) for s in range(40))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {(r["doc_id"], r["piece"]): (r["length"], r["ids_crc32"]) for r in packing.pieces(docs).collect()}
+    for i, ids in enumerate(default_tokenizer(texts)):
+        own = np.array([*ids, packing.END], "<u4")
+        for k, (a, n) in enumerate(packing.cut(len(own))):
+            assert got.pop((i, k)) == (n, zlib.crc32(own[a : a + n].tobytes()))
+    assert not got
+    rows, want = [], []
+    for i, text in enumerate(texts * 4):
+        at, removed = rng.randrange(len(text)), rng.choice([0, 1, 3, 13, 300])
+        new = rng.choice(["", ">", "<|", "<|endoftext|>", "of", " "])
+        rows.append((i, text, [(at, removed, new)]))
+        want.append(text[:at] + new + text[at + removed :])
+    df = spark.createDataFrame(rows, f"doc_id long, text string, edits {token_counts.EDITS}").repartition(3)
+    got = token_counts.apply_edits(token_counts.build_trees(df, ["edits"])).toPandas().sort_values("doc_id")
+    assert list(got.text) == want
+    assert list(got.n_tokens) == [len(x) for x in default_tokenizer(want)]
+    assert list(got.n_tokens_before) == [len(x) for x in default_tokenizer([r[1] for r in rows])]
