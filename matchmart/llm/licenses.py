@@ -3,7 +3,8 @@
 Winnowed fingerprints of license templates form an inverted index; a document's
 word k-grams that it holds name candidate templates and diagonals; a banded
 local alignment around each diagonal reports how much of the template is there
-and where. Words are runs of letters and digits, lower-cased in A-Z.
+and where. Alignments of a template that follow each other in it and in the
+text, as around an inserted passage, are one match. Words are runs of letters and digits, lower-cased in A-Z.
 
 The templates are a parameter of bounded size, and travel to every task; the
 documents are read once, each by itself, with no shuffle.
@@ -24,6 +25,8 @@ GRAM = 3  # words of a fingerprint
 WINNOW = 2  # grams of which the smallest is kept: any GRAM + WINNOW - 1 words running are found
 BAND = 8  # words by which an alignment may leave its diagonal
 LEAST_COVERAGE = 0.6  # of the template's words
+#: Words that may lie between two parts of a match: so many, or so many times the template's.
+MOST_INSERTED, MOST_INSERTED_TIMES = 40, 3
 MOST_TEMPLATE_WORDS = 200_000
 
 # Notices as their publishers word them.
@@ -104,49 +107,71 @@ def diagonals(hits: list[int]) -> Iterator[int]:
         yield (lo + at) // 2
 
 
-def align(template: list[int], words: list[int], diagonal: int, band: int = BAND) -> tuple[int, int, int]:
-    """(matched words, first word, last word + 1) of the best local alignment of
-    a template to ``words`` within ``band`` of a diagonal: 1 for a match, -1 for
-    a mismatch or a skipped word. Of equal scores the first ends first."""
-    best = (0, 0, 0, 0)  # score, matched, begin, end
-    above: dict[int, tuple[int, int, int]] = {}
+def align(template: list[int], words: list[int], diagonal: int, band: int = BAND) -> tuple[int, int, int, int, int]:
+    """(matched words, first word, last word + 1, first and last + 1 of the
+    template) of the best local alignment of a template to ``words`` within
+    ``band`` of a diagonal: 1 for a match, -1 for a mismatch or a skipped word.
+    Of equal scores the first ends first."""
+    best = (0, 0, 0, 0, 0, 0)  # score, matched, begin, begin in the template, end, end in the template
+    above: dict[int, tuple[int, int, int, int]] = {}
     for i, t in enumerate(template):
-        row: dict[int, tuple[int, int, int]] = {}
-        left = (0, 0, 0)
+        row: dict[int, tuple[int, int, int, int]] = {}
+        left = (0, 0, 0, i)
         for j in range(max(i + diagonal - band, 0), min(i + diagonal + band + 1, len(words))):
-            score, matched, begin = above.get(j - 1, (0, 0, j))
+            score, matched, begin, first = above.get(j - 1, (0, 0, j, i))
             if score == 0:
-                matched, begin = 0, j
+                matched, begin, first = 0, j, i
             if words[j] == t:
-                cell = (score + 1, matched + 1, begin)
+                cell = (score + 1, matched + 1, begin, first)
             else:
-                cell = (score - 1, matched, begin)
-            up = above.get(j, (0, 0, j))
-            cell = max(cell, (up[0] - 1, up[1], up[2]), (left[0] - 1, left[1], left[2]), key=lambda c: c[0])
+                cell = (score - 1, matched, begin, first)
+            up = above.get(j, (0, 0, j, i))
+            cell = max(cell, (up[0] - 1, *up[1:]), (left[0] - 1, *left[1:]), key=lambda c: c[0])
             if cell[0] <= 0:
-                cell = (0, 0, j)
+                cell = (0, 0, j, i)
             elif cell[0] > best[0]:
-                best = (*cell, j + 1)
+                best = (*cell, j + 1, i + 1)
             row[j] = left = cell
         above = row
-    return best[1], best[2], best[3]
+    return best[1], best[2], best[4], best[3], best[5]
+
+
+def chains(parts: list[tuple[int, int, int, int, int]], gap: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(matched words, (begin, end) of each part) of the best chain that ends in
+    each alignment. Parts follow each other in template and text, at most
+    ``gap`` words of text apart; words in which two overlap count once."""
+    parts = sorted(parts, key=lambda p: (p[2], p[1]))  # by their ends
+    out: list[tuple[int, list[tuple[int, int]]]] = []
+    for i, (matched, begin, end, first, last) in enumerate(parts):
+        best, before = matched, -1
+        for k in range(i - 1, -1, -1):
+            _, b, e, f, l = parts[k]
+            if begin - e > gap:
+                break
+            if b < begin and e < end and f < first and l < last:
+                total = out[k][0] + matched - max(e - begin, l - first, 0)
+                if total > max(best, out[k][0]):
+                    best, before = total, k
+        out.append((best, [*(out[before][1] if before >= 0 else []), (begin, end)]))
+    return out
 
 
 def scan_text(index: Index, words: list[int], hits: dict[int, list[int]]) -> list[tuple[int, int, int, int]]:
-    """(template, matched, begin, end) of the matches of a text; of matches that
-    overlap the one with most matched words, then of best coverage, stays."""
+    """(template, matched, begin, end) of the matches of a text; of matches whose
+    parts overlap the one with most matched words, then of best coverage, stays."""
     found = []
     for t, places in hits.items():
-        for d in diagonals(sorted(places)):
-            matched, begin, end = align(index.words[t], words, d)
-            if matched >= LEAST_COVERAGE * len(index.words[t]):
-                found.append((t, matched, begin, end))
-    found = sorted(set(found), key=lambda m: (-m[1], -m[1] / len(index.words[m[0]]), m[0], m[2]))
+        n = len(index.words[t])
+        parts = {align(index.words[t], words, d) for d in diagonals(sorted(places))}
+        for matched, spans in chains([p for p in parts if p[0]], max(MOST_INSERTED, MOST_INSERTED_TIMES * n)):
+            if matched >= LEAST_COVERAGE * n:
+                found.append((t, matched, spans))
+    found = sorted(found, key=lambda m: (-m[1], -m[1] / len(index.words[m[0]]), m[0], m[2][-1][1]))
     kept: list = []
     for m in found:
-        if all(m[3] <= k[2] or m[2] >= k[3] for k in kept):
+        if all(e <= x or b >= y for k in kept for x, y in k[2] for b, e in m[2]):
             kept.append(m)
-    return sorted(kept, key=lambda m: m[2])
+    return sorted(((t, matched, spans[0][0], spans[-1][1]) for t, matched, spans in kept), key=lambda m: m[2:])
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:

@@ -369,6 +369,31 @@ def test_license_scan(spark):
     assert sum(r["doc_id"] is None for r in got) == 1
 
 
+def test_license_scan_with_inserted_passages(spark):
+    """All words of a template are there, with 9 to 40 others between them."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for name in ("MIT-grant", "BSD-grant", "GPL-header", "Apache-2.0-header"):
+        words = licenses.TEMPLATES[name].split()
+        for n in (9, 15, 25, 40):
+            for _ in range(4):
+                cuts = sorted(rng.sample(range(len(words) // 3, 2 * len(words) // 3 + 1), rng.choice([1, 1, 2]) if len(words) > 30 else 1))
+                text = list(words)
+                for c in reversed(cuts):
+                    text[c:c] = [rng.choice(["odd", "the", "of", "w1", "to"]) for _ in range(n - 2)] + ["w2", "w3"]
+                rows.append((len(rows), "before " + " ".join(text) + " after"))
+                want[len(rows) - 1] = name
+    rows.append((1000, " ".join(licenses.TEMPLATES["MIT-grant"].split()[:33] + ["Released under the MIT License."] + ["odd"] * 9 + licenses.TEMPLATES["MIT-grant"].split()[33:])))
+    got = licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    texts = dict(rows)
+    for i, name in want.items():
+        (r,) = [r for r in got if r["doc_id"] == i]
+        assert r["license"] == name and r["coverage"] > 0.9, (texts[i], r)
+        assert r["matched"] <= r["template_words"]
+        assert r["begin"] == len("before ") and texts[i][r["end"] :].strip(":. /0123456789") == "after"
+    assert sorted(r["license"] for r in got if r["doc_id"] == 1000) == ["MIT-grant", "MIT-notice"]
+
+
 # --- 7 substring dedup ------------------------------------------------------------------
 
 
