@@ -91,14 +91,20 @@ def build_trees(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
 
 def _regions(text: bytes, sizes: np.ndarray, edits: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
     """(first block, last block, new bytes) of the stretches of blocks that the
-    sorted byte edits touch, with a block of context on either side."""
+    sorted byte edits touch, with a block of context that isn't empty on either
+    side."""
     ends = np.cumsum(sizes)
     last = len(sizes) - 1
     open_: list = []
     for at, removed, new in edits:
         a = min(int(np.searchsorted(ends, at, "right")), last)
         b = min(int(np.searchsorted(ends, max(at, at + removed - 1), "right")), last)
+        # Leaves that earlier edits have emptied are no context.
         a, b = max(a - 1, 0), min(b + 1, last)
+        while a > 0 and not sizes[a]:
+            a -= 1
+        while b < last and not sizes[b]:
+            b += 1
         if open_ and a <= open_[1] + 1:
             open_[1] = max(open_[1], b)
             open_[2].append((at, removed, new))

@@ -247,6 +247,31 @@ def test_counts_after_edits(spark, tokenizer):
     assert (one.n_encoded_bytes < one.n_bytes / 10).all()
 
 
+def test_counts_after_a_large_deletion_and_more_edits(spark, tokenizer):
+    """The deletion leaves empty leaves, which are no context for later edits."""
+    rng = random.Random(12)
+    rows, second, once, twice = [], [], [], []
+    for i in range(60):
+        text = " ".join(rng.choice(["the", "a", "token", "ization", "x1"]) for _ in range(32 * 12))
+        lo = rng.randrange(100, 300)
+        hi = len(text) - rng.randrange(100, 300)
+        rows.append((i, text, [(lo, hi - lo, "")]))
+        once.append(text[:lo] + text[hi:])
+        # One edit near the place of the deletion, mostly of a space.
+        spaces = [k for k, c in enumerate(once[-1]) if c == " " and abs(k - lo) < 60]
+        at = rng.choice(spaces) if i % 3 else lo
+        second.append((i, at, 1, ""))
+        twice.append(once[-1][:at] + once[-1][at + 1 :])
+    df = spark.createDataFrame(rows, f"doc_id long, text string, edits {token_counts.EDITS}").repartition(2)
+    first = token_counts.apply_edits(token_counts.build_trees(df, ["edits"]))
+    more = spark.createDataFrame(second, "doc_id long, at int, removed int, inserted string")
+    again = token_counts.with_edits(first.select("doc_id", "text", "leaf_bytes", "tree"), more)
+    got = token_counts.apply_edits(again).toPandas().sort_values("doc_id")
+    assert list(got.text) == twice
+    assert list(got.n_tokens_before) == [len(x) for x in tokenizer(once)]
+    assert list(got.n_tokens) == [len(x) for x in tokenizer(twice)]
+
+
 def test_redactions(docs, tokenizer):
     rows = docs.withColumn("edits", token_counts.redactions(F.col("text")))
     got = token_counts.apply_edits(token_counts.build_trees(rows, ["edits"])).collect()
