@@ -97,21 +97,23 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(lo, hi - lo),
+                    batch.column(2).slice(lo, hi - lo),
                     pa.array(size, pa.int64()),
                     pa.array(np.array(one, np.uint64).view(np.int64)),
                     pa.array(np.array(two, np.uint64).view(np.int64)),
                     pa.array(keys, pa.binary()),
                     pa.array(bytes_, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "signature"],
+                names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "signature"],
             )
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two checksums of the set, band keys, signature bytes."""
-    return docs.select("doc_id", "text").mapInArrow(
+    """doc_id, a hash of the text, n_shingles, two checksums of the set, band
+    keys, signature bytes."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
         _signed,
-        "doc_id long, n_shingles long, set_a long, set_b long, bands binary, signature binary",
+        "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands binary, signature binary",
     )
 
 
@@ -242,6 +244,11 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     equal sets link by their checksums; a larger comparison of such an id uses
     one of its texts. An empty table gives no rows.
     """
+    return _grouped(docs).drop("text_hash")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """The rows of ``near_dedup`` with a hash of the text."""
     feats = staged(signed(docs), "signatures")
     real = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staged(
@@ -285,7 +292,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     dropped(open_, reps, *groups.links)
 
     # Ids of sets, then ids of components: both joins are on unique keys.
-    rows = feats.select("doc_id", "n_shingles", "set_a", "set_b").join(
+    rows = feats.select("doc_id", "text_hash", "n_shingles", "set_a", "set_b").join(
         classes, ["set_a", "set_b", "n_shingles"], "left"
     )
     rows = rows.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -295,6 +302,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
     return rows.select(
         "doc_id",
+        "text_hash",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
@@ -302,9 +310,11 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, of one document a group."""
-    gone = near_dedup(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of ``docs``, with all their columns, of one document a group.
+    Where texts share an id, only those that aren't kept go."""
+    gone = _grouped(docs).where("NOT kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(gone.distinct(), same, "left_anti")
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,6 +196,13 @@ def test_near_dedup_links_beyond_the_smallest_id(spark):
     assert got == want and len({c for _, c in want.values()}) > 1
 
 
+def test_near_stage_tells_texts_of_one_id_apart(spark):
+    copy, other = " ".join(f"c{i}" for i in range(40)), " ".join(f"o{i}" for i in range(40))
+    rows = [(1, copy), (5, copy), (5, other), (7, None), (None, copy)]
+    kept = near_dedup.keep_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    assert Counter(tuple(r) for r in kept.collect()) == Counter([rows[0], *rows[2:]])
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(300, 340)] + [(0, i) for i in range(1, 60)] + [
