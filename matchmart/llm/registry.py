@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from matchmart.llm import (
     exact_dedup,
+    fingerprints,
     licenses,
     mixing,
     near_dedup,
@@ -11,7 +12,9 @@ from matchmart.llm import (
     preferences,
     quality,
     repeats,
+    resampling,
     sharding,
+    spelling,
     token_counts,
 )
 
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_chunk_recipe_dedup": exact_dedup.op8_chunk_recipe_dedup,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_configuration_packing": packing.op10_configuration_packing,
+    "op11_importance_resampling": resampling.op11_importance_resampling,
+    "op12_multiset_fingerprints": fingerprints.op12_multiset_fingerprints,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLE = {
@@ -34,4 +40,6 @@ ORACLE = {
     "op7_recompression_dedup": repeats.ORACLE,
     "op8_chunk_recipe_dedup": exact_dedup.ORACLE,
     "op9_hash_tree_shards": sharding.oracle(),
+    "op11_importance_resampling": resampling.ORACLE,
+    "op13_spelling_variants": spelling.ORACLE,
 }

@@ -83,11 +83,42 @@ def text_slices(column: pa.Array, limit: int = SLICE):
         lo = hi
 
 
-def find_words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def text_pieces(column: pa.Array, inside: np.ndarray, limit: int = SLICE):
+    """``text_slices``, but a text longer than ``limit`` comes in pieces, each with
+    the (lo, hi) of its row. They end after a byte that is not ``inside`` words
+    (256 flags); only one word longer than ``limit`` makes a longer piece."""
+    for lo, hi, buf, offsets in text_slices(column, limit):
+        if len(buf) <= limit:
+            yield lo, hi, buf, offsets
+            continue
+        for begin, end in cuts(buf, inside, limit):
+            yield lo, hi, buf[begin:end], np.array([0, end - begin])
+
+
+def cuts(buf: np.ndarray, inside: np.ndarray, limit: int):
+    """(begin, end) of consecutive pieces of one text, of about ``limit`` bytes."""
+    begin = 0
+    while begin < len(buf):
+        end = begin + limit
+        if end < len(buf):
+            stops = np.flatnonzero(~inside[buf[begin:end]])
+            if len(stops):
+                end = begin + int(stops[-1]) + 1
+            else:
+                while end < len(buf) and inside[buf[end : end + limit]].all():
+                    end += limit
+                if end < len(buf):
+                    end += int(np.argmin(inside[buf[end : end + limit]])) + 1
+        yield begin, min(end, len(buf))
+        begin = end
+
+
+def find_words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False, inside: np.ndarray = ~_IS_SPACE) -> Words:
+    """The words of the texts: maximal runs of bytes flagged in ``inside``."""
     if lower:
         buf = _LOWER[buf]
     n = len(buf)
-    solid = ~_IS_SPACE[buf]
+    solid = inside[buf]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     cut = offsets[:-1][offsets[:-1] < n]
@@ -100,6 +131,21 @@ def find_words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Wor
     return Words(buf, offsets, start, np.flatnonzero(ends) + 1, np.searchsorted(start, offsets))
 
 
+def distinct_words(words: Words) -> tuple[np.ndarray, list[bytes]]:
+    """(the number of each word in the list, the distinct words)."""
+    if not len(words.start):
+        return np.zeros(0, np.int64), []
+    # Bounds alternate between words and what is between them.
+    bounds = np.empty(2 * len(words.start) + 1, np.int64)
+    bounds[0::2] = np.append(words.start, len(words.buf))
+    bounds[1::2] = words.end
+    runs = pa.Array.from_buffers(
+        pa.large_binary(), 2 * len(words.start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(words.buf))]
+    )
+    coded = runs.take(pa.array(np.arange(0, len(runs), 2))).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
 def word_hashes(words: Words) -> np.ndarray:
     """A 64-bit hash of each word's bytes (polynomial over random byte values,
     then mixed with the length)."""

@@ -11,7 +11,7 @@ from matchmart.llm.registry import ORACLE, QUERIES
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
 
@@ -28,5 +28,5 @@ def test_registered():
     import __spark_entry__ as entry
 
     have = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in have}
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in have}
     assert "pipeline" in have
