@@ -4,6 +4,10 @@
 persisted manifest: plan, select, record, land raw, compact, land JSONL, check,
 complete. Each step can be repeated: a run that stops anywhere is resumed by
 the next, whose stored ids count towards the target.
+
+Which candidates are new is asked of the index of landed ids
+(``operators.idindex``), so history is not parsed again: a run reads the index
+buckets of its candidates and the raw partition of its own batch.
 """
 
 from __future__ import annotations
@@ -12,10 +16,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from matchmart.operators.idindex import IdIndex
 from matchmart.plans import landing
+from matchmart.schema import METADATA_SCHEMA
 from matchmart.session import discard, materialize, path_exists
-from matchmart.sources.documents import compactable_text, land_jsonl, land_raw, read_documents, read_raw_text
+from matchmart.sources.documents import (
+    compactable_text,
+    earliest_per_id,
+    land_jsonl,
+    land_raw,
+    read_documents,
+    read_raw_text,
+)
 from matchmart.sources.frames import frames_from_documents
 
 MANIFEST_SCHEMA = (
@@ -24,6 +38,10 @@ MANIFEST_SCHEMA = (
 )
 
 
+#: All that is read of a landed document to know its id.
+_ID_ONLY = T.StructType([T.StructField("metadata", T.StructType([METADATA_SCHEMA["matchId"]]))])
+
+
 @dataclass
 class IngestConfig:
     batch_date: str
@@ -32,6 +50,10 @@ class IngestConfig:
     manifest_path: str
     target: int = landing.DEFAULT_TARGET
 
+    @property
+    def index(self) -> IdIndex:
+        return IdIndex(self.raw_root.rstrip("/") + "_ids")
+
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
     """The persisted manifest, one row per (batch, id); None before the first batch."""
@@ -84,9 +106,13 @@ def run_ingestion(spark: SparkSession, candidates: DataFrame, cfg: IngestConfig)
     begun = stored.agg(F.min("started_at").alias("at"), F.count_if("is_valid").alias("n")).first()
     started = F.lit(begun["at"]) if begun["at"] else F.current_timestamp()
 
-    known = stored.select("match_id")
-    if path_exists(spark, cfg.raw_root):
-        known = known.union(landing.landed_ids(read_documents(spark, cfg.raw_root)))
+    if not cfg.index.exists(spark) and path_exists(spark, cfg.raw_root):
+        # A raw zone from before there was an index: its ids are read once.
+        cfg.index.add(landing.landed_ids(read_documents(spark, cfg.raw_root, fields=_ID_ONLY)), "before")
+    # One document per id, the same one here and where it lands.
+    candidates = earliest_per_id(candidates.withColumn("match_id", F.col("metadata.matchId")))
+    landed = cfg.index.landed(candidates)
+    known = stored.select("match_id").union(landed)
     found = landing.with_validity(frames_from_documents(candidates).matches)
     new = materialize(
         landing.select_new(found, known).select("match_id", "is_valid", "ingest_date"), "new-matches"
@@ -99,13 +125,15 @@ def run_ingestion(spark: SparkSession, candidates: DataFrame, cfg: IngestConfig)
         stored.select("match_id", "is_valid").union(added.select("match_id", "is_valid")), "batch-ids"
     )
     try:
-        # What is about to land is recorded before it lands.
+        # What is about to land is recorded before it lands: in the manifest, from
+        # which a resumed run lands it, and in the index, so that no other batch does.
         _record(ids, cfg, landing.IN_PROGRESS, started, F.lit(None))
+        cfg.index.add(ids, cfg.batch_date)
         _land(spark, candidates, ids, cfg)
         status = landing.COMPLETED if reached else landing.INCOMPLETE
         _record(ids, cfg, status, started, F.current_timestamp() if reached else F.lit(None))
     finally:
-        discard(new, ids, *([stored] if plan.action == "resume" else []))
+        discard(new, ids, landed, *([stored] if plan.action == "resume" else []))
     summary = landing.manifest_summary(read_manifest(spark, cfg.manifest_path).where(in_batch))
     if not reached:
         row = summary.first()
@@ -116,24 +144,22 @@ def run_ingestion(spark: SparkSession, candidates: DataFrame, cfg: IngestConfig)
 
 
 def _land(spark: SparkSession, candidates: DataFrame, ids: DataFrame, cfg: IngestConfig) -> None:
-    """Land the batch's documents raw, then compact; check both against the ids."""
+    """Land the batch's documents (``candidates``: one per id) raw, then compact;
+    check both against the ids."""
     in_batch = F.col("ingest_date") == cfg.batch_date
-    docs = candidates.withColumn("match_id", F.col("metadata.matchId"))
-    first = F.expr("row_number() OVER (PARTITION BY match_id ORDER BY ingest_date)")
-    docs = landing.manifest_members(docs, ids).withColumn("_n", first).where("_n = 1").drop("_n")
-    if path_exists(spark, cfg.raw_root):
+    docs = landing.manifest_members(candidates, ids)
+    own = lambda: read_documents(spark, cfg.raw_root, ingest_dates=[cfg.batch_date], fields=_ID_ONLY)
+    if path_exists(spark, f"{cfg.raw_root}/ingest_date={cfg.batch_date}"):
         # A run that stopped half way may have landed some.
-        docs = docs.join(landing.landed_ids(read_documents(spark, cfg.raw_root)), "match_id", "left_anti")
+        docs = docs.join(landing.landed_ids(own()), "match_id", "left_anti")
     docs = docs.drop("match_id", "ingest_date").withColumn("ingest_date", F.lit(cfg.batch_date))
     land_raw(docs, cfg.raw_root, mode="append")
-    landed = read_documents(spark, cfg.raw_root, ingest_dates=[cfg.batch_date])
-    landing.assert_no_file_id_mismatch(landed)
-    landing.assert_complete(landing.manifest_missing(ids, landing.landed_ids(landed)))
+    landing.assert_no_file_id_mismatch(own())
+    landing.assert_complete(landing.manifest_missing(ids, landing.landed_ids(own())))
 
-    text = landing.compact_batch(
-        compactable_text(spark, cfg.raw_root).where(in_batch), ids, cfg.batch_date
-    )
-    land_jsonl(text, cfg.staging_root)
+    raw = compactable_text(spark, cfg.raw_root).where(in_batch)
+    landing.assert_readable(raw)
+    land_jsonl(landing.compact_batch(raw, ids, cfg.batch_date), cfg.staging_root)
     written = read_raw_text(spark, cfg.staging_root).where(in_batch)
     row = landing.compaction_reconciliation(written, ids, cfg.batch_date).first()
     if row["status"] != "PASS":

@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchmart.functions.exprs import (
     date_string_from_epoch_s,
@@ -45,7 +46,15 @@ from matchmart.plans.warehouse import (
     build_match_from_text,
     slice_metrics,
 )
-from matchmart.schema import DOCUMENT_SCHEMA, PARTICIPANT_FIELDS, TEAM_SCHEMA, lenient
+from matchmart.schema import (
+    DOCUMENT_SCHEMA,
+    INFO_SCHEMA,
+    METADATA_SCHEMA,
+    PARTICIPANT_FIELDS,
+    PARTICIPANT_SCHEMA,
+    TEAM_SCHEMA,
+    lenient,
+)
 from matchmart.session import apply_defaults, file_states, path_exists, publish_folder, shared_path
 from matchmart.sources.documents import (
     compactable_text,
@@ -186,34 +195,51 @@ def _player(field: str, column: str = "p"):
 # --- scans / sources --------------------------------------------------------
 
 
+#: What the scan keys take from a document.
+_SCANNED = T.StructType(
+    [
+        T.StructField("metadata", T.StructType([METADATA_SCHEMA["matchId"]])),
+        T.StructField(
+            "info",
+            T.StructType(
+                [
+                    INFO_SCHEMA["gameId"],
+                    INFO_SCHEMA["gameVersion"],
+                    T.StructField("participants", T.ArrayType(T.StructType([PARTICIPANT_SCHEMA["participantId"]]))),
+                ]
+            ),
+        ),
+    ]
+)
+
+
 def _scan_projection(docs: DataFrame) -> DataFrame:
-    m = frames_from_documents(docs).matches
-    return m.select(
-        "match_id",
+    return docs.select(
+        F.col("metadata.matchId").alias("match_id"),
         "ingest_date",
-        F.col("gameId").alias("game_id"),
-        F.col("gameVersion").alias("game_version"),
-        F.col("n_participants").alias("participant_count"),
+        typed("info.gameId", T.LongType()).alias("game_id"),
+        F.col("info.gameVersion").alias("game_version"),
+        F.size("info.participants").alias("participant_count"),
     )
 
 
 @query("scan_documents")
 def q_scan_documents(spark, sf_dir):
-    """Every ingest date of the multi-line raw zone."""
-    return _scan_projection(read_documents(spark, raw_zone(spark, sf_dir), "raw"))
+    """Every ingest date of the raw zone."""
+    return _scan_projection(read_documents(spark, raw_zone(spark, sf_dir), "raw", fields=_SCANNED))
 
 
 @query("scan_one_ingest_date")
 def q_scan_one_ingest_date(spark, sf_dir):
     """S3: one partition; the others are pruned."""
-    docs = read_documents(spark, raw_zone(spark, sf_dir), "raw", ingest_dates=[LANDED_DATE])
+    docs = read_documents(spark, raw_zone(spark, sf_dir), "raw", ingest_dates=[LANDED_DATE], fields=_SCANNED)
     return _scan_projection(docs)
 
 
 @query("source_ingest_date")
 def q_source_ingest_date(spark, sf_dir):
     """Ingest date recovered from each document's file path."""
-    docs = read_documents(spark, raw_zone(spark, sf_dir), "raw")
+    docs = read_documents(spark, raw_zone(spark, sf_dir), "raw", fields=T.StructType(_SCANNED.fields[:1]))
     return docs.select(
         F.col("metadata.matchId").alias("match_id"),
         ingest_date_from_path("source_file").alias("source_ingest_date"),

@@ -112,12 +112,16 @@ def materialize(df, name: str = "stage"):
     return back
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own, if it is there."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def discard(*frames) -> None:
     """Delete what ``materialize`` wrote, once nothing reads it any more."""
     for df in frames:
-        spark = df.sparkSession
-        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        delete_path(df.sparkSession, df.materialized_at)
 
 
 def publish_folder(spark: SparkSession, staged: str, path: str) -> None:

@@ -2,10 +2,11 @@
 
 Layouts (all partitioned by ``ingest_date=YYYY-MM-DD``):
 
-* raw zone: pretty-printed JSON, read with ``multiLine``. A file holds one
-  document or a JSON array of documents; we land arrays bounded by documents
-  and by bytes, so that a batch is neither millions of tiny files nor a few
-  that can't be split;
+* raw zone: pretty-printed JSON. A file holds one document or a JSON array of
+  documents; we land arrays bounded by documents and by bytes, so that a batch is
+  neither millions of tiny files nor a few that can't be split. A file is read
+  as one text and parsed once, as VARIANT, from memory; its documents are cast to
+  the fields that are asked for;
 * staging: compact JSON Lines, one document per line (also the ODS raw-text
   table ``(raw_json, ingest_date)``).
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchmart.schema import MATCH_SCHEMA
+from matchmart.schema import CORRUPT_COLUMN, DOCUMENT_SCHEMA, MATCH_SCHEMA, lenient
 
 INGEST_DATE_PATTERN = r"ingest_date=([0-9]{4}-[0-9]{2}-[0-9]{2})"
 DEFAULT_DOCS_PER_FILE = 1000
@@ -45,22 +46,71 @@ def read_documents(
     root: str,
     layout: str = "raw",
     ingest_dates: list[str] | None = None,
+    fields: T.StructType = DOCUMENT_SCHEMA,
 ) -> DataFrame:
     """Documents under ``root``.
 
     ``ingest_dates`` restricts the read to those partitions (partition
-    pruning: other directories are not listed or opened). Adds
-    ``source_file`` (S4 lineage).
+    pruning: other directories are not listed or opened). ``fields``, a part of
+    ``DOCUMENT_SCHEMA``, restricts what is taken from a document of the raw zone;
+    JSON Lines are pruned by the planner. Adds ``source_file`` (S4 lineage).
     """
-    reader = spark.read.schema(READ_SCHEMA)
     if layout == "raw":
-        reader = reader.option("multiLine", True)
-    elif layout != "jsonl":
+        files = spark.read.schema(RAW_TEXT_SCHEMA).text(root, wholetext=True)
+    elif layout == "jsonl":
+        files = spark.read.schema(READ_SCHEMA).json(root)
+    else:
         raise ValueError(f"unknown layout {layout!r}")
-    df = reader.json(root)
     if ingest_dates is not None:
-        df = df.where(F.col("ingest_date").isin(list(ingest_dates)))
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+        files = files.where(F.col("ingest_date").isin(list(ingest_dates)))
+    files = files.withColumn("source_file", F.col("_metadata.file_path"))
+    return parse_files(files, fields) if layout == "raw" else files
+
+
+def parse_files(files: DataFrame, fields: T.StructType = DOCUMENT_SCHEMA) -> DataFrame:
+    """The documents of whole files (``value``, ``ingest_date``, ``source_file``):
+    ``metadata``, ``info`` with text leaves, the corrupt-record text, then
+    ``ingest_date`` and ``source_file``.
+
+    A file that isn't JSON is one row with its text as the corrupt record and
+    nothing else; so is a value of a file's array that isn't an object. An empty
+    array has no documents. What VARIANT refuses though it is JSON (a file over
+    its size limit, repeated keys) goes through the JSON parser.
+    """
+    kind = lenient(fields)
+    items = _values(files).withColumn(
+        "doc",
+        F.when(F.ltrim("item.text").startswith("{"), F.from_json("item.text", kind)).otherwise(
+            F.try_variant_get("item.v", "$", kind.simpleString())
+        ),
+    )
+    corrupt = F.coalesce(F.to_json("item.v"), F.col("item.text"), F.col("unread"))
+    return items.select(
+        *[F.col(f"doc.{f.name}").alias(f.name) for f in kind.fields],
+        F.when(F.col("doc").isNull(), corrupt).alias(CORRUPT_COLUMN),
+        "ingest_date",
+        "source_file",
+    )
+
+
+def _values(files: DataFrame) -> DataFrame:
+    """Adds ``item``: each value of a file's array, or the file's only value, as
+    VARIANT (``v``) or, where that refused the file, as JSON ``text``. A file that
+    isn't JSON keeps one row with a NULL item and its text as ``unread``."""
+    parsed = files.withColumn("v", F.try_parse_json("value"))
+    array = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
+    as_variant = F.transform(array, lambda d: F.struct(d.alias("v"), F.lit(None).cast("string").alias("text")))
+    alone = F.when(F.get_json_object("value", "$").isNotNull(), F.array("value"))
+    texts = F.coalesce(F.from_json("value", "array<string>"), alone)
+    as_text = F.transform(texts, lambda t: F.struct(F.lit(None).cast("variant").alias("v"), t.alias("text")))
+    items = F.when(F.col("v").isNotNull(), as_variant).otherwise(as_text)
+    rows = parsed.select("value", "ingest_date", "source_file", items.alias("items"))
+    # One row for a file that isn't JSON, none for an empty array. A file's text
+    # doesn't go with its documents.
+    rows = rows.where(F.col("items").isNull() | (F.size("items") > 0))
+    unread = F.when(F.col("items").isNull(), F.col("value"))
+    rows = rows.select(unread.alias("unread"), "ingest_date", "source_file", "items")
+    return rows.select("unread", "ingest_date", "source_file", F.explode_outer("items").alias("item"))
 
 
 def ingest_date_from_path(path_col="source_file"):
@@ -80,19 +130,24 @@ def read_raw_text(spark: SparkSession, root: str) -> DataFrame:
 
 
 def compactable_text(spark: SparkSession, root: str) -> DataFrame:
-    """``(raw_json, ingest_date)`` of the pretty raw zone, one row per document:
-    a file holds a document or an array of them, parsed as VARIANT, so unknown
-    fields and NULLs stay."""
+    """``(raw_json, ingest_date, source_file)`` of the pretty raw zone, one row per
+    document with all its fields and NULLs. A file that isn't JSON keeps a row
+    with a NULL ``raw_json``, so that it can be named."""
     files = spark.read.schema(RAW_TEXT_SCHEMA).text(root, wholetext=True)
-    parsed = files.select("ingest_date", F.try_parse_json("value").alias("v"))
-    one = F.schema_of_variant("v").startswith("OBJECT")
-    docs = parsed.select(
-        "ingest_date",
-        F.explode(
-            F.when(one, F.array("v")).otherwise(F.try_variant_get("v", "$", "array<variant>"))
-        ).alias("d"),
+    values = _values(files.withColumn("source_file", F.col("_metadata.file_path")))
+    return values.select(
+        F.coalesce(F.to_json("item.v"), F.col("item.text")).alias("raw_json"), "ingest_date", "source_file"
     )
-    return docs.select(F.to_json("d").alias("raw_json"), "ingest_date")
+
+
+def earliest_per_id(docs: DataFrame, key: str = "match_id") -> DataFrame:
+    """One document per ``key``: of the earliest ingest date, then file, then by a
+    hash of its text and the text, so that every caller keeps the same one."""
+    text = F.to_json(F.struct("metadata", "info"))
+    order = ["ingest_date", *(["source_file"] if "source_file" in docs.columns else []), "__h", "__t"]
+    rows = docs.withColumn("__t", text).withColumn("__h", F.xxhash64("__t"))
+    first = F.expr(f"row_number() OVER (PARTITION BY `{key}` ORDER BY {', '.join(order)})")
+    return rows.withColumn("__n", first).where("__n = 1").drop("__n", "__h", "__t")
 
 
 # --- writes -----------------------------------------------------------------

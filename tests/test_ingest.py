@@ -87,3 +87,42 @@ def test_raw_files_are_bounded_and_compactable(spark, tmp_path):
     got = compactable_text(spark, root).union(compactable_text(spark, str(tmp_path / "in")))
     texts = [r["raw_json"] for r in got.collect()]
     assert len(texts) == 14 and all("\n" not in t and '": ' not in t for t in texts)
+
+
+def test_history_is_not_read_again(spark, tmp_path):
+    """The second batch finds landed ids by the index: what landed before may be
+    unreadable and is not missed."""
+    cfg = config(tmp_path, 2)
+    ingest.run_ingestion(spark, candidates(spark, tmp_path / "one", range(1, 4)), cfg)
+    for f in (tmp_path / "raw" / "ingest_date=2026-08-17").glob("*.txt"):
+        f.write_text("{broken")
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    later = ingest.IngestConfig("2026-08-18", cfg.raw_root, cfg.staging_root, cfg.manifest_path, 3)
+    row = ingest.run_ingestion(spark, candidates(spark, tmp_path / "two", range(1, 9)), later).first()
+    assert (row["status"], row["new_valid_matches"]) == ("completed", 3)
+    mine = ingest.read_manifest(spark, cfg.manifest_path).where("batch_date = '2026-08-18'")
+    assert ids_in(mine) == ["M_3", "M_4", "M_5"]
+
+
+def test_compaction_names_a_file_it_cannot_read(spark, tmp_path):
+    docs = candidates(spark, tmp_path / "new", range(1, 4))
+    cfg = config(tmp_path, 2)
+    folder = tmp_path / "raw" / "ingest_date=2026-08-17"
+    folder.mkdir(parents=True)
+    (folder / "torn.json").write_text('[{"metadata": {"matchId": "M_77"}}, {"meta')
+    with pytest.raises(landing.BatchError, match="torn.json"):
+        ingest.run_ingestion(spark, docs, cfg)
+
+
+def test_of_two_copies_the_one_judged_is_the_one_landed(spark, tmp_path):
+    one = candidates(spark, tmp_path / "a", [1], invalid=(1,))
+    two = candidates(spark, tmp_path / "b", [1])
+    both = one.union(two).drop("source_file")
+    cfg = config(tmp_path, 1)
+    try:
+        ingest.run_ingestion(spark, both, cfg)
+    except landing.BatchError:
+        pass
+    judged = ingest.read_manifest(spark, cfg.manifest_path).first()["is_valid"]
+    kept = read_documents(spark, cfg.raw_root).selectExpr("exists(info.participants, p -> p.puuid = 'BOT') AS bot").first()
+    assert judged != kept["bot"]

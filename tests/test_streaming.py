@@ -78,3 +78,43 @@ def test_every_document_is_accounted_for(spark, tmp_path):
     aside = spark.read.parquet(cfg.quarantine_path)
     assert aside.count() == 4 and aside.select("source_file").distinct().count() == 4
     assert spark.read.parquet(cfg.landed_path).first()["info"]["gameDuration"] == "1800"
+
+
+def test_landed_documents_are_not_read_again(spark, tmp_path):
+    """Later batches ask the index; a spoilt landed file doesn't matter, and a
+    re-fetched document counts as a duplicate."""
+    src = str(tmp_path / "drop")
+    cfg = IncrementalLanding(
+        source_root=src,
+        landed_path=str(tmp_path / "landed"),
+        manifest_path=str(tmp_path / "manifest"),
+        checkpoint=str(tmp_path / "ckpt"),
+    )
+    write_docs(src, "2026-08-16", [document("M_1", ten()), document("M_2", ten())])
+    run_incremental_landing(spark, cfg)
+    for f in (tmp_path / "landed").rglob("*.parquet"):
+        f.write_bytes(b"spoilt")
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    write_docs(src, "2026-08-17", [document("M_3", ten()), document("M_1", ten())])
+    run_incremental_landing(spark, cfg)
+    assert [r["match_id"] for r in spark.read.parquet(cfg.manifest_path).where("batch_id = 1").collect()] == ["M_3"]
+    row = spark.read.parquet(f"{cfg.accounting_path}/batch=1").first()
+    assert (row["documents"], row["landed"], row["duplicates"], row["quarantined"]) == (2, 1, 1, 0)
+    # Only the last batch's staged copy is left.
+    assert [p.name for p in (tmp_path / "ckpt" / "staged").iterdir() if not p.name.startswith(".")] == ["batch=1"]
+
+
+def test_a_lost_document_is_no_duplicate(spark, tmp_path):
+    import pytest
+    from matchmart.sources.documents import read_documents
+    from matchmart.streaming import incremental
+
+    src = str(tmp_path / "drop")
+    write_docs(src, "2026-08-16", [document("M_1", ten()), document("M_2", ten())])
+    cfg = IncrementalLanding(src, str(tmp_path / "landed"), str(tmp_path / "manifest"), str(tmp_path / "ckpt"))
+    batch = read_documents(spark, src)
+    incremental._process(cfg)(batch, 0)
+    lost = next(f for f in (tmp_path / "landed").rglob("*.parquet"))
+    lost.unlink()
+    with pytest.raises(RuntimeError, match="of 2 documents 0 landed, 0 are duplicates"):
+        incremental._account(spark, cfg, batch, 0)
