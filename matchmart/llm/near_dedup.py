@@ -106,6 +106,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "signature"],
             )
+        W.release()
 
 
 def signed(docs: DataFrame) -> DataFrame:

@@ -69,6 +69,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                     ],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+            W.release()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long"

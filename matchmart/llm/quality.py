@@ -10,6 +10,8 @@ the pattern counts (at most 19,683 rows, whatever the corpus) reach the driver.
 
 from __future__ import annotations
 
+import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +23,7 @@ from pyspark.sql import types as T
 from matchmart.llm import words as W
 from matchmart.llm.common import dropped, staged, table
 
+SLICE = 1 << 20  # bytes of texts judged together; a longer text is judged in pieces
 MIN_WORDS = 10  # base rule
 WINDOW = 5  # words of a repeated passage
 MAX_REPEAT_PERCENT = 20  # base rule: words in repeated windows
@@ -99,6 +102,63 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def long_features(buf: np.ndarray) -> dict[str, np.ndarray]:
+    """``features`` of one long text. It is read in pieces, and only a hash a word
+    and a hash a line are kept to find what repeats."""
+    sums = dict.fromkeys(FEATURES, 0)
+    hashes = []
+    for a, b in W.cuts(buf, ~W._IS_SPACE, SLICE):
+        piece, offsets = buf[a:b], np.array([0, b - a])
+        words = W.find_words(piece, offsets)
+        hashes.append(W.word_hashes(words))
+        sums["n_words"] += len(words.start)
+        sums["word_chars"] += int(_LEAD[piece][~W._IS_SPACE[piece]].sum())
+        sums["n_symbols"] += int(_SYMBOL[piece].sum())
+        letters = np.concatenate([[0], np.cumsum(_LETTER[piece])])
+        sums["n_lettered"] += int((letters[words.end] > letters[words.start]).sum())
+        sums["n_stops"] += int(_STOP[piece[words.end - 1]].sum())
+    hashes = np.concatenate([np.zeros(0, np.uint64), *hashes])
+
+    lines = array("Q")
+    begin, size, raw = 0, len(buf), memoryview(np.ascontiguousarray(buf))
+    breaks = np.concatenate([np.flatnonzero(buf[a : a + SLICE] == 10) + a for a in range(0, size, SLICE)])
+    for end in (*breaks, size):
+        line = raw[begin:end]
+        if not line.tobytes().isspace() and len(line):
+            lines.append(int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little"))
+        begin = int(end) + 1
+    sums["n_lines"] = len(lines)
+    sums["n_dup_lines"] = len(lines) - _n_distinct(np.frombuffer(lines, np.uint64).copy() if lines else np.zeros(0, np.uint64))
+
+    keys = W.window_hashes(hashes, WINDOW)
+    order = np.sort(keys)
+    twice = np.unique(order[1:][order[1:] == order[:-1]])
+    del order
+    hit = np.zeros(len(hashes), bool)
+    for lo in range(0, len(keys) if len(twice) else 0, SLICE):
+        part = keys[lo : lo + SLICE]
+        found = twice[np.minimum(np.searchsorted(twice, part), len(twice) - 1)] == part
+        for j in range(WINDOW):
+            hit[lo + j : lo + j + len(part)] |= found
+    sums["n_repeat_words"] = int(hit.sum())
+    del keys
+    sums["n_distinct"] = _n_distinct(hashes)
+    return {k: np.array([v], np.int64) for k, v in sums.items()}
+
+
+def _n_distinct(values: np.ndarray) -> int:
+    """How many distinct values there are; sorts them in place."""
+    values.sort()
+    return int((values[1:] != values[:-1]).sum()) + 1 if len(values) else 0
+
+
+def sliced_features(texts: pa.Array) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:
+    """(lo, hi, features of the rows lo:hi) over a batch of texts."""
+    for lo, hi, buf, offsets in W.text_slices(texts, SLICE):
+        yield lo, hi, long_features(buf) if len(buf) > SLICE else features(buf, offsets)
+    W.release()
+
+
 def vote_pattern(feats: dict[str, np.ndarray], rules=RULES) -> np.ndarray:
     """The votes of each document as one number, in base 3 (vote + 1)."""
     pattern = np.zeros(len(feats["n_words"]), np.int32)
@@ -164,10 +224,8 @@ def judged_texts(docs: DataFrame, carry: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(use.index("text"))
-            for lo, hi, buf, offsets in W.text_slices(texts):
+            for lo, hi, feats in sliced_features(batch.column(use.index("text"))):
                 part = batch.slice(lo, hi - lo)
-                feats = features(buf, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(use.index(c)) for c in carry]
                     + [pa.array(feats[f]) for f in FEATURES]
@@ -218,17 +276,29 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     )
 
 
+_JUDGED = T.StructType().add("n_words", T.LongType()).add("n_repeat_words", T.LongType()).add("pattern", T.IntegerType())
+
+
+def _judged(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    names = ["n_words", "n_repeat_words", "pattern"]
+    for column in texts:
+        parts = [(f["n_words"], f["n_repeat_words"], vote_pattern(f)) for _, _, f in sliced_features(column)]
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.int32)]
+        yield pa.StructArray.from_arrays([pa.array(c) for c in columns], names)
+
+
 def keep_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that the rules keep. Two
-    passes over the texts and no join of them: the first counts patterns, the
-    second judges and filters."""
-    patterns = staged(judged_texts(docs, ["doc_id"]).select("pattern"), "quality-patterns")
-    posterior = verdicts(patterns)
-    dropped(patterns)
-    clash = {c: f"__own_{c}" for c in docs.columns if c in (*FEATURES, "pattern", "posterior", "base_failed", "kept")}
-    renamed = docs.withColumnsRenamed(clash)
-    rows = with_verdict(judged_texts(renamed, renamed.columns), posterior).where("kept")
-    return rows.select(*[F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns])
+    """The rows of ``docs``, with all their columns, that the rules keep.
+
+    One pass judges the texts, of which nothing but the verdict's columns comes
+    back from Python, and writes the rows with them; the patterns are counted
+    there, and the second pass reads what was written and filters."""
+    names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
+    judge = F.arrow_udf(_judged, _JUDGED)
+    rows = docs.select(judge(F.col("text")).alias("__j"), *[F.col(f"`{c}`").alias(v) for c, v in names.items()])
+    judged = staged(rows.select("__j.n_words", "__j.n_repeat_words", "__j.pattern", *names.values()), "quality-rows")
+    kept = with_verdict(judged, verdicts(judged)).where("kept")
+    return kept.select(*[F.col(v).alias(c) for c, v in names.items()])
 
 
 def op5_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 VOCABULARY = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
-SLICE = 8 << 20  # bytes of texts encoded together
+SLICE = 2 << 20  # bytes of texts encoded together; a longer text is encoded in pieces
 _JOIN = 20_000  # units encoded in one call
 
 _BREAK = np.zeros(256, bool)
@@ -164,8 +164,31 @@ def unit_counts(buf: np.ndarray, offsets: np.ndarray, added: bool = False) -> tu
     return starts, encode_distinct(units, added)[2][name]
 
 
+def _text_pieces(buf: np.ndarray, added: bool):
+    """(begin, end) of consecutive pieces of one text, each of whole units."""
+    begin, size = 0, SLICE
+    while begin < len(buf):
+        end = min(begin + size, len(buf))
+        if end < len(buf):
+            last = int(unit_starts(buf[begin:end], np.array([0, end - begin]), added)[-1])
+            if last < 4:  # a unit longer than the piece; or too near the start to see what is before
+                size *= 2
+                continue
+            end = begin + last
+        yield begin, end
+        begin, size = end, SLICE
+
+
 def encode_slice(buf: np.ndarray, offsets: np.ndarray, added: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts of a slice, where each text's begin: rows + 1)."""
+    if len(buf) > SLICE and len(offsets) == 2:  # one long text
+        parts = [_encode(buf[a:b], np.array([0, b - a]), added)[0] for a, b in _text_pieces(buf, added)]
+        ids = np.concatenate(parts)
+        return ids, np.array([0, len(ids)])
+    return _encode(buf, offsets, added)
+
+
+def _encode(buf: np.ndarray, offsets: np.ndarray, added: bool) -> tuple[np.ndarray, np.ndarray]:
     starts = unit_starts(buf, offsets, added)
     if not len(starts):
         return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)

@@ -1,18 +1,24 @@
 """Vectorised word work on Arrow text columns (runs inside Spark tasks).
 
 Words are maximal runs of bytes other than 0x20 and 0x09-0x0D. A batch is cut
-into slices of whole texts of at most ``SLICE`` bytes (a longer text is a slice
-of its own), which bounds what a task holds beside the batch.
+into slices of whole texts of at most ``SLICE`` bytes. A longer text is a slice
+of its own; what is done byte by byte is then done a block at a time, so that a
+task holds a few numbers a word beside the batch, never several a byte.
 """
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 SLICE = 4 << 20
+#: Bytes, or windows, hashed at a time; a word over LONG_WORD bytes is hashed alone.
+BLOCK = 1 << 18
+LONG_WORD = 1 << 16
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -117,6 +123,19 @@ def find_words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False, inside
     """The words of the texts: maximal runs of bytes flagged in ``inside``."""
     if lower:
         buf = _LOWER[buf]
+    if len(buf) > SLICE and len(offsets) == 2:  # one long text
+        parts = []
+        for a, b in cuts(buf, inside, BLOCK):
+            start, end = _bounds(buf[a:b], np.array([0, b - a]), inside)
+            parts.append((start + a, end + a))
+        start, end = (np.concatenate(x) for x in zip(*parts))
+    else:
+        start, end = _bounds(buf, offsets, inside)
+    return Words(buf, offsets, start, end, np.searchsorted(start, offsets))
+
+
+def _bounds(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of the texts begin and end."""
     n = len(buf)
     solid = inside[buf]
     begins = solid.copy()
@@ -127,8 +146,7 @@ def find_words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False, inside
     ends[:-1] &= ~solid[1:]
     last = offsets[1:][offsets[1:] > 0] - 1
     ends[last] = solid[last]
-    start = np.flatnonzero(begins)
-    return Words(buf, offsets, start, np.flatnonzero(ends) + 1, np.searchsorted(start, offsets))
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
 def distinct_words(words: Words) -> tuple[np.ndarray, list[bytes]]:
@@ -148,17 +166,27 @@ def distinct_words(words: Words) -> tuple[np.ndarray, list[bytes]]:
 
 def word_hashes(words: Words) -> np.ndarray:
     """A 64-bit hash of each word's bytes (polynomial over random byte values,
-    then mixed with the length)."""
+    then mixed with the length; of very long words a cryptographic one)."""
     start, end = words.start, words.end
+    out = np.zeros(len(start), np.uint64)
     if not len(start):
-        return np.zeros(0, np.uint64)
-    buf = words.buf[start[0] : end[-1]]
-    size = np.diff(np.append(start, end[-1]))
-    inside = np.arange(len(buf)) - np.repeat(start - start[0], size)
-    value = _BYTE[buf] * powers(int(size.max()))[inside]
-    value[_IS_SPACE[buf]] = 0
-    total = np.add.reduceat(value, start - start[0])
-    return mix(total + (end - start).astype(np.uint64) * np.uint64(_BASE))
+        return out
+    size = end - start
+    long = np.flatnonzero(size > LONG_WORD)
+    edges = np.searchsorted(start, np.arange(start[0], start[-1] + 1, BLOCK))
+    edges = np.unique(np.concatenate([edges, long, long + 1, [0, len(start)]]))
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if size[i] > LONG_WORD:
+            digest = hashlib.blake2b(words.buf[start[i] : end[i]].tobytes(), digest_size=8).digest()
+            out[i] = int.from_bytes(digest, "little")
+            continue
+        n = size[i:j]
+        at = np.cumsum(n) - n
+        inside = np.arange(int(n.sum())) - np.repeat(at, n)
+        value = _BYTE[words.buf[np.repeat(start[i:j], n) + inside]] * powers(int(n.max()))[inside]
+        total = np.add.reduceat(value, at)
+        out[i:j] = mix(total + n.astype(np.uint64) * np.uint64(_BASE))
+    return out
 
 
 def window_hashes(h: np.ndarray, width: int, base: int = 0xD1342543DE82EF95) -> np.ndarray:
@@ -167,9 +195,12 @@ def window_hashes(h: np.ndarray, width: int, base: int = 0xD1342543DE82EF95) ->
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for j, p in enumerate(powers(width, base)):
-        out += h[j : j + n] * p
-    return mix(out + np.uint64(width))
+    for lo in range(0, n, BLOCK):
+        part = out[lo : lo + BLOCK]
+        for j, p in enumerate(powers(width, base)):
+            part += h[lo + j : lo + j + len(part)] * p
+        part[:] = mix(part + np.uint64(width))
+    return out
 
 
 def inside_rows(first: np.ndarray, width: int) -> np.ndarray:
@@ -188,3 +219,13 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     np.add.at(step, starts, 1)
     np.add.at(step, np.minimum(starts + width, n), -1)
     return np.cumsum(step[:n]) > 0
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers outlive their tasks, and an
+    executor's memory counts what all of them hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        pass
