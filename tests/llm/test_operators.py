@@ -77,7 +77,7 @@ def test_empty_tables(spark, empty):
     ):
         assert result.count() == 0
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
-    assert preferences.format_pairs(*preferences.borrowed_answers(preferences.one_a_turn(turns))).count() == 0
+    assert preferences.format_uses(*preferences.borrowed_answers(preferences.one_a_turn(turns))).count() == 0
 
 
 def test_stages_keep_columns_and_take_empty_tables(spark, docs, empty, labels):
@@ -316,6 +316,46 @@ def test_preferences(spark):
             assert said == ""
 
 
+def plain_borrowed(turns):
+    """The pairs of ``borrowed_answers``, as sorted (pair, part, turn, role, said) rows."""
+    convs = {}
+    for c, t, r, x in sorted(turns, key=lambda x: (x[2] or "", x[3] or "")):
+        if c is not None and t is not None:
+            convs.setdefault(c, {}).setdefault(t, (r or "", x or ""))
+    last = {c: max(t for t, (r, _) in ts.items() if r == "assistant") for c, ts in convs.items() if any(r == "assistant" for r, _ in ts.values())}
+    ring = sorted(last, key=lambda c: (int(hashlib.md5(str(c).encode()).hexdigest()[:13], 16), c))
+    out = []
+    for i, c in enumerate(ring):
+        other = ring[(i + 1) % len(ring)]
+        chosen = {t: v for t, v in convs[c].items() if t <= last[c]}
+        rejected = {**chosen, last[c]: ("assistant", convs[other][last[other]][1])}
+        fork = min((t for t in chosen if chosen[t] != rejected[t]), default=None)
+        for t in chosen:
+            if fork is None or t < fork:
+                out.append((c, "prompt", t, *chosen[t]))
+            else:
+                out += [(c, "chosen", t, *chosen[t]), (c, "rejected", t, *rejected[t])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("ids", [[5], [2 * i for i in range(40)], [-7, 0, 1, 1 << 62, (1 << 63) - 1, -(1 << 63), *range(10**12, 10**12 + 30)]])
+def test_every_answered_conversation_is_paired(spark, ids):
+    rng = random.Random(len(ids))
+    turns = []
+    for c in ids:
+        for t in range(rng.randrange(1, 6)):
+            turns.append((c, 3 * t - 2, rng.choice(["user", "assistant", None]), rng.choice(["yes", "no", "<|x|>", None, "long " * 50])))
+    turns += turns[:3] + [(ids[0], -2, "assistant", "zz"), (None, 1, "assistant", "lost"), (ids[0], None, "assistant", "lost")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("pair_id", F.lit(1))
+    got = preferences.format_uses(*preferences.borrowed_answers(preferences.one_a_turn(frame))).collect()
+    said = lambda r: r["rendered"].removeprefix(f"<|im_start|>{r['role']}\n").removesuffix("<|im_end|>\n")
+    want = [(*w[:4], w[4].replace("<|", "< |")) for w in plain_borrowed(turns)]
+    assert sorted((r["pair_id"], r["part"], r["turn"], r["role"], said(r)) for r in got) == sorted(want)
+    assert {w[0] for w in want} == {c for c, t, r, _ in turns if r == "assistant" and c is not None and t is not None}
+    for r in got:
+        assert r["n_prompt_turns"] == sum(w[0] == r["pair_id"] and w[1] == "prompt" for w in want)
+
+
 # --- 5 quality ----------------------------------------------------------------------
 
 
