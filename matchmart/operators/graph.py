@@ -9,6 +9,9 @@ skewed join partitions. The edge list, the valid set and each hop's result
 are written to the shared checkpoint folder and read back, which cuts the
 lineage of the iteration (one computation each, no recompute on a lost
 executor).
+
+``collect_to_target`` is the collector's whole loop: hops go on until enough new
+valid matches are found or no player is left to look at.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchmart.operators.joins import excluding, members
-from matchmart.session import materialize
+from matchmart.session import discard, materialize
 
 BOT_PUUID = "BOT"
 
@@ -69,6 +72,67 @@ def expand_frontier(
     return out
 
 
+def collect_to_target(
+    recent: DataFrame,
+    edges: DataFrame,
+    valid_matches: DataFrame,
+    landed: DataFrame,
+    seeds: DataFrame,
+    target: int,
+) -> DataFrame:
+    """New valid matches ``(hop, match_id)`` in the order a breadth-first walk
+    from ``seeds`` finds them, ``target`` at most (R4, R5, O6).
+
+    Hop by hop: the frontier's players offer their ``recent`` matches
+    ``(puuid, match_id)``; of those not seen before the valid ones count unless
+    ``landed``, and (landed or not) their players, as far as not seen, are the
+    next frontier. The walk ends with the hop in which ``target`` is reached (of
+    that hop the first matches in id order are taken), or when nobody is left.
+    A target of 0 or no seeds give no rows. NULL ids take part in nothing.
+
+    A hop stages two tables, the matches it saw and its players; the driver gets
+    one count of each. The result is staged, all else is deleted.
+    """
+    spark = seeds.sparkSession
+    recent = materialize(recent.select("puuid", "match_id"), "collect-recent")
+    edges = materialize(edges.select("match_id", "puuid"), "collect-edges")
+    valid = materialize(valid_matches.select("match_id").distinct(), "collect-valid")
+    frontier = materialize(
+        seeds.where(F.col("puuid").isNotNull()).select("puuid").distinct(), "collect-seeds"
+    )
+    kept = [recent, edges, valid, frontier]
+    players, matches, found = frontier, None, []
+    hop, n, waiting = 0, 0, frontier.count()
+    try:
+        while waiting and n < target:
+            hop += 1
+            offered = members(recent, frontier, "puuid").select("match_id").distinct()
+            reached = members(offered, valid, "match_id")
+            if matches is not None:
+                reached = excluding(reached, matches, "match_id")
+            reached = materialize(reached, f"collect-matches{hop}")
+            kept.append(reached)
+            new = excluding(reached, landed.select("match_id"), "match_id")
+            # A top-k where the target cuts the hop; nothing is cut before.
+            new = materialize(new.orderBy("match_id").limit(target - n), f"collect-new{hop}")
+            kept.append(new)
+            found.append(new.select(F.lit(hop).alias("hop"), "match_id"))
+            n += new.count()
+            matches = reached if matches is None else matches.unionByName(reached)
+            fresh = members(edges, reached, "match_id").select("puuid").distinct()
+            frontier = materialize(excluding(fresh, players, "puuid"), f"collect-players{hop}")
+            kept.append(frontier)
+            players = players.unionByName(frontier)
+            waiting = frontier.count()
+        none = spark.createDataFrame([], "hop int, match_id string")
+        out = none
+        for rows in found:
+            out = out.unionByName(rows)
+        return materialize(out, "collected")
+    finally:
+        discard(*kept)
+
+
 def seed_players(edges: DataFrame, valid_matches: DataFrame) -> DataFrame:
     """Human players of the seed match: the smallest valid match id."""
     seed = valid_matches.agg(F.min("match_id").alias("match_id"))

@@ -449,6 +449,59 @@ oracle(
        FROM mx WHERE coalesce(duration, 0) < 300 ORDER BY duration, match_id""",
 )
 
+
+def _profile_sql(rows: str) -> str:
+    """The whole profile of ``rows``: columns of mx, with torn (not JSON), match_id
+    and dur (a duration that is a JSON number) as the texts have them."""
+    starts = {
+        "gameStartTimestamp": "start_ms", "gameEndTimestamp": "start_ms", "gameDuration": "duration",
+        "gameMode": "o_orderpriority", "gameType": "o_orderstatus", "gameVersion": "version",
+        "mapId": "map_id", "platformId": "o_custkey", "queueId": "queue_id", "metadata.matchId": "match_id",
+    }
+    tables = {
+        "participants": "coalesce(n_participants, 0)", "game_mode": "o_orderpriority",
+        "queue_id": "queue_id", "map_id": "map_id",
+    }
+    count = lambda cond: f"count(*) FILTER (WHERE {cond})"
+    scalars = [
+        ("basic", "json_files", "count(*) + (SELECT count(*) FROM d WHERE torn)", "NULL"),
+        ("basic", "parsed_matches", count("match_id IS NOT NULL"), "NULL"),
+        ("basic", "parse_errors", "0 * count(*) + (SELECT count(*) FROM d WHERE torn)", "NULL"),
+        ("basic", "unique_match_ids", "count(DISTINCT match_id)", "NULL"),
+        ("basic", "duplicate_match_ids", "count(match_id) - count(DISTINCT match_id)", "NULL"),
+        ("match_type", "valid_pvp_matches", count(_VALID), "NULL"),
+        ("match_type", "bot_matches", count("has_bot"), "NULL"),
+        ("duration", "minimum", "min(dur)", "NULL"),
+        ("duration", "maximum", "max(dur)", "NULL"),
+        ("duration", "average", "round(avg(dur), 2)", "NULL"),
+        ("duration", "median", "round(median(dur), 2)", "NULL"),
+        ("date_range", "earliest", "min(start_ms)", _iso("min(start_ms)")),
+        ("date_range", "latest", "max(start_ms)", _iso("max(start_ms)")),
+        *[("missing_fields", f, count(f"{c} IS NULL"), "NULL") for f, c in starts.items()],
+    ]
+    parts = [f"SELECT '{s}' AS section, '{k}' AS key, ({v})::DOUBLE AS value, ({t})::VARCHAR AS text FROM ok" for s, k, v, t in scalars]
+    parts += [f"SELECT '{s}', ({e})::VARCHAR, count(*)::DOUBLE, NULL FROM ok GROUP BY ({e})" for s, e in tables.items()]
+    parts.append(
+        "SELECT 'patch', split_part(version, '.', 1) || '.' || split_part(version, '.', 2), count(*)::DOUBLE, NULL "
+        "FROM ok WHERE len(string_split(version, '.')) >= 2 GROUP BY 2"
+    )
+    return _with(
+        f"SELECT * FROM (WITH d AS ({rows}), ok AS (SELECT * FROM d WHERE NOT torn) {' UNION ALL '.join(parts)}) "
+        "WHERE section <> 'missing_fields' OR value > 0 ORDER BY section, key"
+    )
+
+
+_DIRTY = """SELECT mx.* REPLACE (CASE WHEN k % 43 = 0 THEN NULL ELSE match_id END AS match_id), k % 41 = 0 AS torn,
+  CASE k % 3 WHEN 0 THEN NULL WHEN 1 THEN duration + 0.5::DOUBLE ELSE duration END AS dur
+  FROM mx, range(CASE WHEN k % 47 = 0 THEN 2 ELSE 1 END)"""
+ORACLE["profile_dataset"] = _profile_sql("SELECT *, false AS torn, duration::DOUBLE AS dur FROM mx")
+ORACLE["profile_dataset_dirty"] = _profile_sql(_DIRTY)
+oracle(
+    "corrupt_records",
+    """SELECT CASE WHEN k % 43 = 0 THEN '' ELSE match_id END AS rescued_id, ingest_date, ingest_date AS source_ingest_date
+       FROM mx, range(CASE WHEN k % 47 = 0 THEN 2 ELSE 1 END) WHERE k % 41 = 0""",
+)
+
 # --- landing ----------------------------------------------------------------
 
 _NEW = f"""nw AS (
@@ -471,6 +524,8 @@ def _with_new(body: str) -> str:
 
 
 ORACLE["new_matches"] = _with_new("SELECT match_id FROM nw")
+ORACLE["new_matches_by_index"] = _with_new("SELECT match_id FROM nw")
+ORACLE["new_valid_batch_cut"] = _with_new("SELECT match_id FROM nw WHERE is_valid ORDER BY match_id LIMIT 3")
 ORACLE["new_valid_batch"] = _with_new("SELECT match_id FROM fv")
 ORACLE["batch_manifest"] = _with_new("SELECT * FROM mf")
 ORACLE["manifest_members"] = _with_new(
@@ -504,6 +559,32 @@ def _with_graph(body: str) -> str:
     return "WITH " + _PRELUDE.strip() + ",\n" + _GRAPH + "\n" + body.strip()
 
 
+def _collect_sql(limit: str) -> str:
+    """The collector's loop: a match's hop is the least hop of a player who has it
+    among the recent ones. A walk of 24 steps is longer than any shortest one here."""
+    return (
+        "WITH RECURSIVE " + _PRELUDE.strip() + f""",
+e AS (SELECT DISTINCT match_id, puuid FROM p WHERE puuid IS NOT NULL AND puuid <> '' AND puuid <> 'BOT'),
+v AS (SELECT match_id FROM mx WHERE {_VALID}),
+landed AS (SELECT match_id FROM mx WHERE ingest_date = '2026-08-16'),
+r AS (SELECT puuid, match_id FROM (
+        SELECT puuid, match_id, row_number() OVER (PARTITION BY puuid ORDER BY game_start_time DESC, match_id) AS i
+        FROM (SELECT DISTINCT puuid, match_id, game_start_time FROM p WHERE puuid <> 'BOT')) WHERE i <= 200),
+reach AS (SELECT DISTINCT r.puuid, r.match_id, e.puuid AS other FROM r JOIN v USING (match_id) JOIN e USING (match_id)),
+walk AS (
+  SELECT 1 AS hop, puuid FROM e WHERE match_id = (SELECT min(match_id) FROM v WHERE match_id IN (SELECT match_id FROM landed))
+  UNION
+  SELECT hop + 1, other FROM walk JOIN reach USING (puuid) WHERE hop < 24),
+first AS (SELECT puuid, min(hop) AS hop FROM walk GROUP BY puuid)
+SELECT min(hop) AS hop, match_id FROM first JOIN reach USING (puuid)
+WHERE match_id NOT IN (SELECT match_id FROM landed) GROUP BY match_id ORDER BY 1, 2 {limit}"""
+    )
+
+
+ORACLE["frontier_to_target"] = _collect_sql("LIMIT 3")
+ORACLE["frontier_to_exhaustion"] = _collect_sql("")
+
+
 ORACLE["player_match_edges"] = _with_graph("SELECT match_id, puuid FROM e")
 ORACLE["frontier_1hop"] = _with_graph("SELECT 1 AS hop, puuid FROM h1")
 ORACLE["frontier_2hop"] = _with_graph(

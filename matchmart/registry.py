@@ -29,11 +29,13 @@ from matchmart.functions.exprs import (
     valid_match,
 )
 from matchmart.operators.graph import (
+    collect_to_target,
     expand_frontier,
     player_match_edges,
     recent_matches,
     seed_players,
 )
+from matchmart.operators.idindex import IdIndex
 from matchmart.plans import landing, profile, quality
 from matchmart.plans.warehouse import (
     Layers,
@@ -47,6 +49,7 @@ from matchmart.plans.warehouse import (
     slice_metrics,
 )
 from matchmart.schema import (
+    CORRUPT_COLUMN,
     DOCUMENT_SCHEMA,
     INFO_SCHEMA,
     METADATA_SCHEMA,
@@ -55,9 +58,18 @@ from matchmart.schema import (
     TEAM_SCHEMA,
     lenient,
 )
-from matchmart.session import apply_defaults, file_states, path_exists, publish_folder, shared_path
+from matchmart.session import (
+    apply_defaults,
+    delete_path,
+    file_states,
+    path_exists,
+    publish_folder,
+    scratch_dir,
+    shared_path,
+)
 from matchmart.sources.documents import (
     compactable_text,
+    corrupt_documents,
     document_text,
     ingest_date_from_path,
     land_jsonl,
@@ -76,6 +88,9 @@ LANDED_DATE = "2026-08-16"  # documents already in the raw zone
 BATCH_DATE = "2026-08-17"  # the batch being collected
 BATCH_TARGET = 20  # new valid matches per batch (collector default)
 RECENT_PER_PLAYER = 20  # candidates per player (collector default)
+COLLECT_RECENT = 200  # candidates per player of the collector's loop here (its matches are rarely valid)
+COLLECT_TARGET = 3  # new valid matches after which the loop stops
+CUT_TARGET = 3  # a batch target below what the batch offers
 PREVIEW_ROWS = 30  # rows shown by the preview
 SLICE = {"queue_id": 420, "date_from": "1996-01-01", "date_to": "1997-12-31"}
 SHORT_SECONDS = 300
@@ -163,6 +178,8 @@ def _landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
                 _store_layers(spark, sf_dir, own)
             elif layout == "raw":
                 land_raw(built_documents(spark, sf_dir), own)
+            elif layout == "dirty":
+                land_jsonl(_dirtied(document_text(built_documents(spark, sf_dir))), own)
             else:
                 land_jsonl(document_text(built_documents(spark, sf_dir)), own)
             publish_folder(spark, own, root)
@@ -177,6 +194,34 @@ def staging(spark: SparkSession, sf_dir: str) -> str:
     return _landed(spark, sf_dir, "jsonl")
 
 
+def _dirtied(raw: DataFrame) -> DataFrame:
+    """Texts of documents as a careless source would send them: of the documents
+    whose number is divisible by 41 only the first half arrives, by 43 the id is
+    null, by 47 they come twice; by the number's remainder by 3 the duration is
+    text, has a half second more, or is as it was."""
+    k = F.regexp_extract("raw_json", r'"gameId":(\d+)', 1).cast("long")
+    text = F.when(k % 43 == 0, F.regexp_replace("raw_json", r'"matchId":"[^"]*"', '"matchId":null')).otherwise(
+        F.col("raw_json")
+    )
+    duration = r'"gameDuration":(\d+)'
+    text = (
+        F.when(k % 3 == 0, F.regexp_replace(text, duration, '"gameDuration":"$1"'))
+        .when(k % 3 == 1, F.regexp_replace(text, duration, '"gameDuration":$1.5'))
+        .otherwise(text)
+    )
+    rows = raw.select(text.alias("t"), k.alias("k"), "ingest_date")
+    rows = rows.select(
+        F.expr("CASE WHEN k % 41 = 0 THEN substr(t, 1, length(t) div 2) ELSE t END").alias("raw_json"),
+        F.expr("explode(sequence(1, CASE WHEN k % 47 = 0 THEN 2 ELSE 1 END))").alias("copy"),
+        "ingest_date",
+    )
+    return rows.drop("copy")
+
+
+def dirty(spark: SparkSession, sf_dir: str) -> str:
+    return _landed(spark, sf_dir, "dirty")
+
+
 def quality_inputs(spark: SparkSession, sf_dir: str) -> quality.QualityInputs:
     lay = stored_layers(spark, sf_dir)
     return quality.QualityInputs(
@@ -639,6 +684,30 @@ def q_short_matches(spark, sf_dir):
     return profile.short_matches(_profile_input(spark, sf_dir), SHORT_SECONDS)
 
 
+@query("profile_dataset")
+def q_profile_dataset(spark, sf_dir):
+    """PF1: all counters and tables in one pass over the JSON text."""
+    return profile.profile_dataset(raw_text(spark, sf_dir))
+
+
+@query("profile_dataset_dirty")
+def q_profile_dataset_dirty(spark, sf_dir):
+    """PF1, A13, A17, P31: the same over texts with torn, nameless and repeated
+    documents, and with durations that are text or have decimals."""
+    return profile.profile_dataset(read_raw_text(spark, dirty(spark, sf_dir)))
+
+
+@query("corrupt_records")
+def q_corrupt_records(spark, sf_dir):
+    """Torn documents keep their text, so that their id can be recovered."""
+    docs = read_documents(spark, dirty(spark, sf_dir), "jsonl")
+    return corrupt_documents(docs).select(
+        F.regexp_extract(CORRUPT_COLUMN, r'"matchId":"([^"]*)"', 1).alias("rescued_id"),
+        "ingest_date",
+        ingest_date_from_path("source_file").alias("source_ingest_date"),
+    )
+
+
 # --- landing ----------------------------------------------------------------
 
 
@@ -669,10 +738,29 @@ def q_new_valid_batch(spark, sf_dir):
     return landing.first_valid(new, BATCH_TARGET).select("match_id")
 
 
-def _manifest(spark, sf_dir):
+@query("new_valid_batch_cut")
+def q_new_valid_batch_cut(spark, sf_dir):
+    """A target that is reached, so that the limit cuts."""
+    _, landed, candidates = _landing_state(spark, sf_dir)
+    return landing.first_valid(landing.select_new(candidates, landed), CUT_TARGET).select("match_id")
+
+
+@query("new_matches_by_index")
+def q_new_matches_by_index(spark, sf_dir):
+    """The same as ``new_matches``, by the stored index of landed ids:
+    written from the earlier batch, then asked for this one's candidates."""
+    _, landed, candidates = _landing_state(spark, sf_dir)
+    index = IdIndex(scratch_dir(spark, f"index-{uuid.uuid4().hex}"))
+    index.add(landed, LANDED_DATE)
+    found = index.landed(candidates)
+    delete_path(spark, index.root)
+    return landing.select_new(candidates, found).select("match_id")
+
+
+def _manifest(spark, sf_dir, target=BATCH_TARGET):
     fr, landed, candidates = _landing_state(spark, sf_dir)
     new = landing.select_new(candidates, landed)
-    return fr, landing.batch_manifest(new, BATCH_DATE, BATCH_TARGET)
+    return fr, landing.batch_manifest(new, BATCH_DATE, target)
 
 
 @query("batch_manifest")
@@ -739,7 +827,32 @@ def q_frontier_2hop(spark, sf_dir):
 @query("recent_matches_per_player")
 def q_recent_matches(spark, sf_dir):
     """Each human player's most recent matches (start time desc, id)."""
+    return _recent(spark, sf_dir, RECENT_PER_PLAYER)
+
+
+def _recent(spark, sf_dir, n):
     p = layers(spark, sf_dir).dwd_player_match
     human = p.where(F.col("puuid").isNotNull() & (F.col("puuid") != "") & (F.col("puuid") != "BOT"))
     pm = human.select("puuid", "match_id", "game_start_time").distinct()
-    return recent_matches(pm, RECENT_PER_PLAYER, "game_start_time")
+    return recent_matches(pm, n, "game_start_time")
+
+
+def _collect(spark, sf_dir, target):
+    """The collector's loop from the players of the first valid landed match."""
+    fr, edges, valid = _graph(spark, sf_dir)
+    landed = fr.matches.where(F.col("ingest_date") == LANDED_DATE).select("match_id")
+    seeds = seed_players(edges, valid.join(landed, "match_id", "left_semi"))
+    return collect_to_target(_recent(spark, sf_dir, COLLECT_RECENT), edges, valid, landed, seeds, target)
+
+
+@query("frontier_to_target")
+def q_frontier_to_target(spark, sf_dir):
+    """Hops until ``COLLECT_TARGET`` new valid matches; the target cuts
+    into the last hop."""
+    return _collect(spark, sf_dir, COLLECT_TARGET)
+
+
+@query("frontier_to_exhaustion")
+def q_frontier_to_exhaustion(spark, sf_dir):
+    """A target that is never reached: hops until no player is left."""
+    return _collect(spark, sf_dir, 1 << 30)

@@ -140,6 +140,16 @@ def compactable_text(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def corrupt_documents(docs: DataFrame) -> DataFrame:
+    """Rows whose text isn't JSON; it is in the corrupt-record column.
+
+    The condition is one that Spark can't hand to the JSON source: a filter there
+    is judged before the end of a torn text is seen, and loses the row.
+    """
+    nothing = F.to_json(F.struct("metadata", "info")) == "{}"
+    return docs.where(nothing & (F.coalesce(CORRUPT_COLUMN, F.lit("")) != ""))
+
+
 def earliest_per_id(docs: DataFrame, key: str = "match_id") -> DataFrame:
     """One document per ``key``: of the earliest ingest date, then file, then by a
     hash of its text and the text, so that every caller keeps the same one."""

@@ -69,3 +69,15 @@ def test_recent_matches_limits_before_shuffle(plans):
 def test_partial_aggregation_before_shuffle(plans):
     p = plans["dws_champion_day"]
     assert "partial_count" in p and "partial_sum" in p
+
+
+def test_profile_is_one_pass(plans):
+    for name in ("profile_dataset", "profile_dataset_dirty"):
+        assert plans[name].count("FileScan text") == 1
+        assert plans[name].count("try_parse_json") <= 1 and "Expand" in plans[name]
+
+
+def test_raw_scans_parse_a_file_from_memory(plans):
+    for name in ("scan_documents", "scan_one_ingest_date", "source_ingest_date"):
+        assert "FileScan text" in plans[name] and "FileScan json" not in plans[name]
+    assert "PartitionFilters: [isnotnull(ingest_date" in plans["scan_one_ingest_date"]
