@@ -1,7 +1,7 @@
 """Soft-membership mixing to target weights (operator 1).
 
 A classifier learned from the table of labels gives every document a posterior
-over domains; document rates r >= 0 are then fitted so that the expected tokens
+over domains (words weigh by log odds shrunk by their significance); document rates r >= 0 are then fitted so that the expected tokens
 of each domain, sum of r * tokens * posterior, meet the targets:
 
     1/2 sum_k (share_k - target_k)^2 / base_k + ridge/2 sum_d w_d (r_d - 1)^2
@@ -31,6 +31,12 @@ BUCKETS = 1 << 16  # hashed words
 TRAIN_ROWS = 20_000
 #: Log prior of a domain without labelled documents: no text's words outweigh it.
 ABSENT = -1e9
+#: Standard deviations by which a word's frequency in a domain must differ from
+#: that in the others before it says anything; beyond, its weight grows to the
+#: full log odds.
+DEVIATIONS = 2.5
+#: Without a bound on rates, no domain's tokens are raised more than so often.
+RAISE = 100.0
 ROUNDS, RIDGE, TOLERANCE = 40, 1e-3, 1e-7
 
 #: Default weights of the mix.
@@ -60,8 +66,23 @@ class Model:
     learned: bool
 
 
+def log_odds(inside: int, outside: int, domain: int, others: int) -> float:
+    """The weight of a word that ``inside`` of ``domain`` documents and ``outside``
+    of ``others`` hold: the log ratio of its frequencies (counts plus one half),
+    shrunk by 1 - DEVIATIONS**2 / z**2, z being the standard score of ``inside``.
+    Words of chance, most of a long text's, weigh nothing."""
+    both, n = inside + outside, domain + others
+    expected = both * domain / n
+    z2 = (inside - expected) ** 2 / (expected * (1 - both / n) + 0.25)
+    if z2 <= DEVIATIONS**2:
+        return 0.0
+    full = math.log((inside + 0.5) / (domain + 1)) - math.log((outside + 0.5) / (others + 1))
+    return round(full * (1 - DEVIATIONS**2 / z2), 3)
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Naive Bayes over hashed words (counts plus one half), by domain.
+    """A linear classifier over hashed words: of each domain the log prior, and for
+    each bucket the shrunk log odds of its documents against all others'.
 
     Learns from at most ``rows`` labelled documents, a bounded broadcast. Of
     labels that repeat a document the worst counts; labels without a domain or
@@ -77,22 +98,23 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         .limit(rows)
     )
     chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    counts = (
-        chosen.select("domain", F.explode(tokens(F.col("text"))).alias("word"))
-        .groupBy(bucket(F.col("word")).alias("bucket"), "domain")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    held = chosen.select("domain", F.array_distinct(F.transform(tokens(F.col("text")), bucket)).alias("buckets"))
+    held = staged(held, "mix-labelled")  # the labelled documents: TRAIN_ROWS at most
     ks = range(len(DOMAINS))
-    sums = [F.sum(F.when(F.col("domain") == k, F.col("n"))).alias(f"n{k}") for k in ks]
-    weights = [[0.5] * BUCKETS for _ in ks]
-    found = counts.groupBy("bucket").agg(*sums).collect()  # BUCKETS rows at most
-    for row in found:
+    ns = [0] * len(DOMAINS)
+    for row in held.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect():
+        ns[row["domain"]] = row["n"]
+    sums = [F.count_if(F.col("domain") == k).alias(f"n{k}") for k in ks]
+    found = held.select("domain", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(*sums).collect()
+    dropped(held)
+    weights = [[0.0] * BUCKETS for _ in ks]
+    for row in found:  # BUCKETS rows at most
+        df = [row[f"n{k}"] for k in ks]
         for k in ks:
-            weights[k][row["bucket"]] += row[f"n{k}"] or 0
-    logs = [[round(math.log(n / total), 3) for n in w] for w in weights for total in [sum(w)]]
-    seen = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    priors = [math.log(seen[k] + 1e-3) if seen.get(k) else ABSENT for k in ks]
-    return Model(priors, logs, bool(found))
+            if ns[k]:
+                weights[k][row["bucket"]] = log_odds(df[k], sum(df) - df[k], ns[k], sum(ns) - ns[k])
+    priors = [math.log(n) if n else ABSENT for n in ns]
+    return Model(priors, weights, bool(found))
 
 
 def posteriors(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
@@ -146,11 +168,11 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], upper: float | None =
 
     Targets are weights of the mix; a domain without one is free. The mix has
     as many tokens as the table, or, with rates bounded by ``upper``, as many as
-    the bound lets the domain of the greatest weight have. Under a bound the
-    other weights are ceilings: a domain too scarce for its weight is taken as
-    far as the bound goes and lowers no other; the one of the greatest weight
-    makes up for it as far as it can. A target for a domain without any mass
-    can't be met, and is left out.
+    the bound lets the domain of the greatest weight have. No domain's goal is
+    more than the bound (without one: ``RAISE``) times what there is of it: a
+    domain too scarce for its weight is taken as far as that goes and lowers no
+    other; the one of the greatest weight makes up for it as far as it can. So a
+    domain's goal falls to 0 in proportion to its mass, without a jump.
     """
     sums = lambda r: [F.sum(r * F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS]
     base = soft.agg(*sums(F.lit(1.0))).first()
@@ -158,18 +180,15 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], upper: float | None =
     if not total:
         return []
     share = {d: base[d] / total for d in DOMAINS}
-    goal = {d: w for d, w in targets.items() if share[d] > 1e-9}
-    weight = sum(goal.values())
+    wanted = {d: w for d, w in targets.items() if share[d] > 0}
+    weight = sum(wanted.values())
     if weight <= 0:
         return []
-    mass = sum(share[d] for d in goal)
-    main = max(goal, key=goal.get)
-    if upper is not None:
-        mass = min(mass, upper * share[main] * weight / goal[main])
-    goal = {d: w / weight * mass for d, w in goal.items()}
-    if upper is not None:
-        goal = {d: min(g, upper * share[d]) for d, g in goal.items()}
-        goal[main] = min(upper * share[main], mass - sum(g for d, g in goal.items() if d != main))
+    bound = RAISE if upper is None else upper
+    main = max(wanted, key=wanted.get)
+    mass = min(sum(share[d] for d in wanted), bound * share[main] * weight / wanted[main])
+    goal = {d: min(w / weight * mass, bound * share[d]) for d, w in wanted.items()}
+    goal[main] = min(bound * share[main], mass - sum(g for d, g in goal.items() if d != main))
     history: list[list[float]] = []
     now = dict(share)
     for _ in range(ROUNDS):

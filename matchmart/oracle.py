@@ -208,6 +208,46 @@ oracle(
        UNION ALL SELECT 'ads_champion_day_metrics', count(*) FROM ads""",
 )
 
+_STAGES = ["dwd_match", "dwd_player_match", "dws_champion_day", "ads_champion_day_metrics"]
+_ROWS = " UNION ALL ".join(
+    f"SELECT '{n}' AS stage, count(*) AS rows FROM {t}" for n, t in zip(_STAGES, ("m", "p", "dws", "ads"))
+)
+oracle(
+    "stage_log",
+    f"SELECT stage, rows, 'OK' AS status FROM ({_ROWS}) UNION ALL SELECT 'total', sum(rows)::BIGINT, 'OK' FROM ({_ROWS})",
+)
+oracle(
+    "overwrite_by_date",
+    """SELECT 'dynamic' AS mode, substr(dt, 1, 4) AS dt, count(*) AS n, sum(game_id)::BIGINT AS ids FROM m
+       WHERE substr(dt, 1, 4) <> '1996' OR game_id % 2 = 0 GROUP BY 2
+       UNION ALL
+       SELECT 'static', '1996', count(*), sum(game_id)::BIGINT FROM m WHERE substr(dt, 1, 4) = '1996' AND game_id % 2 = 0""",
+)
+_HALF_YEAR = "substr(dt, 1, 4) = '1996' AND game_id % 2 = 0"
+oracle(
+    "swapped_partitions",
+    " UNION ALL ".join(
+        f"""SELECT '{mode}' AS mode, '{planned}' AS planned, substr(dt, 1, 4) AS dt, count(*) AS n, sum(game_id)::BIGINT AS ids
+            FROM m WHERE {cond} GROUP BY 3"""
+        for mode, planned, cond in (
+            ("dynamic", "before", "true"),
+            ("dynamic", "after", f"substr(dt, 1, 4) <> '1996' OR ({_HALF_YEAR})"),
+            ("static", "before", "true"),
+            ("static", "after", _HALF_YEAR),
+        )
+    ),
+)
+oracle(
+    "overwrite_then_append",
+    """SELECT dt, count(*) AS n, sum(game_id)::BIGINT AS ids FROM (
+         SELECT substr(dt, 1, 4) AS dt, game_id FROM m WHERE substr(dt, 1, 4) = '1996'
+         UNION ALL SELECT substr(dt, 1, 4), game_id FROM m WHERE game_id % 3 = 0) GROUP BY dt""",
+)
+oracle(
+    "registered_partitions",
+    "SELECT source_ingest_date AS ingest_date, count(*) AS n FROM m WHERE source_ingest_date = '2026-08-17' GROUP BY 1",
+)
+
 # --- projections / expressions ---------------------------------------------
 
 _PREVIEW = [
@@ -349,6 +389,12 @@ for _k, _sql in _DQ.items():
     oracle(_k, _sql)
 _REPORT = " UNION ALL ".join(f"({s})" for s in _DQ.values())
 oracle("dq_report", _REPORT + " ORDER BY rule_id")
+oracle(
+    "dq_history",
+    f"""SELECT 'run of ' || d AS run_id, rule_id, status, actual_value, d AS batch_date, true AS timed,
+              (SELECT 2 * max(CASE WHEN status = 'PASS' THEN 0 ELSE 1 END) FROM ({_REPORT}) r)::INT AS runs_stopped
+       FROM ({_REPORT}) r, (VALUES ('2026-08-16'), ('2026-08-17')) v(d)""",
+)
 oracle("dq_summary", f"SELECT status, count(*) AS n FROM ({_REPORT}) r GROUP BY status")
 oracle(
     "fanout_reconciliation",
@@ -536,11 +582,23 @@ ORACLE["manifest_missing"] = _with_new(
     "(SELECT match_id FROM mx WHERE ingest_date = '2026-08-17')"
 )
 ORACLE["compact_jsonl"] = _with_new(
-    """SELECT '2026-08-17' AS batch_date, count(*) AS manifest_ids, count(*) AS lines_written,
+    """SELECT '2026-08-17' AS batch_date, (SELECT count(*) FROM mf) AS manifest_ids, count(*) AS lines_written,
               count(*) FILTER (WHERE mx.has_bot) AS bot_matches_literal,
               count(*) FILTER (WHERE mx.has_early) AS early_surrender_matches_literal,
-              'PASS' AS status
-       FROM mf JOIN mx ON mf.match_id = mx.match_id"""
+              CASE WHEN (SELECT count(*) FROM mf) = count(*) THEN 'PASS' ELSE 'FAIL' END AS status
+       FROM mx WHERE ingest_date = '2026-08-17' AND match_id IN (SELECT match_id FROM mf)"""
+)
+ORACLE["compact_torn_jsonl"] = _with_new(
+    """SELECT '2026-08-17' AS batch_date, (SELECT count(*) FROM mf) AS manifest_ids, count(*) AS lines_written,
+              count(*) FILTER (WHERE mx.has_bot) AS bot_matches_literal,
+              count(*) FILTER (WHERE mx.has_early) AS early_surrender_matches_literal,
+              CASE WHEN (SELECT count(*) FROM mf) = count(*) THEN 'PASS' ELSE 'FAIL' END AS status
+       FROM mx, range(CASE WHEN k % 47 = 0 THEN 2 ELSE 1 END)
+       WHERE ingest_date = '2026-08-17' AND k % 41 <> 0 AND k % 43 <> 0 AND match_id IN (SELECT match_id FROM mf)"""
+)
+ORACLE["missing_from_torn"] = _with_new(
+    "SELECT DISTINCT match_id FROM mf WHERE match_id NOT IN "
+    "(SELECT match_id FROM mx WHERE ingest_date = '2026-08-17' AND k % 41 <> 0 AND k % 43 <> 0)"
 )
 
 # --- graph ------------------------------------------------------------------

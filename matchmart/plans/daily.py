@@ -1,8 +1,10 @@
 """Daily warehouse run: documents -> DWD -> DIM -> DWS -> ADS -> DQ -> publish.
 
 ``run_daily`` runs the stages in order in one session and stops at the first
-failure (R9); every stage is timed into a stage log (R10). Each stage reads
-the layer below from the catalog, never the table it writes (W23).
+failure (R9); a stage log has every stage's seconds and the rows it wrote, and
+a total (R10): rows are counted by an ``Observation`` on each write, not by
+another scan. Each stage reads the layer below from the catalog, never the
+table it writes (W23).
 
 Scale notes:
 * the raw JSON zone is parsed exactly once per run into a columnar document
@@ -19,7 +21,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from matchmart.plans import quality
@@ -40,7 +42,6 @@ from matchmart.plans.warehouse import (
     build_match,
     build_player_match,
 )
-from matchmart.schema import MATCH_SCHEMA
 from matchmart.session import discard, materialize
 from matchmart.sources.documents import READ_SCHEMA, read_documents
 from matchmart.sources.frames import frames_from_documents
@@ -72,24 +73,45 @@ class DailyConfig:
 
 @dataclass
 class StageLog:
+    """Rows (stage, seconds, rows written, status) of a run's stages."""
+
     rows: list = field(default_factory=list)
 
     def run(self, stage: str, fn):
+        """Run ``fn(watch)``: what it writes it passes through ``watch``, which
+        counts the rows as they are written. Every watched frame must be written."""
+        watched: list[Observation] = []
+
+        def watch(df: DataFrame) -> DataFrame:
+            watched.append(Observation())
+            return df.observe(watched[-1], F.count(F.lit(1)).alias("rows"))
+
         t0 = time.perf_counter()
         try:
-            out = fn()
+            out = fn(watch)
+            n = sum(o.get["rows"] for o in watched)
         except Exception:
-            self.rows.append((stage, round(time.perf_counter() - t0, 3), "FAILED"))
+            self.rows.append((stage, round(time.perf_counter() - t0, 3), None, "FAILED"))
             raise
-        self.rows.append((stage, round(time.perf_counter() - t0, 3), "OK"))
+        self.rows.append((stage, round(time.perf_counter() - t0, 3), n, "OK"))
         return out
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "stage string, seconds double, status string")
+        """The stages in order, then their total."""
+        status = "FAILED" if any(r[3] == "FAILED" for r in self.rows) else "OK"
+        total = ("total", round(sum(r[1] for r in self.rows), 3), sum(r[2] or 0 for r in self.rows), status)
+        return spark.createDataFrame(
+            [*self.rows, total], "stage string, seconds double, rows bigint, status string"
+        ).coalesce(1)
+
 
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
 
-def parse_documents(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> None:
-    """Parse the raw zone once into the columnar document table.
+
+def parse_documents(spark: SparkSession, cfg: DailyConfig, doc_path: str, watch=_as_is) -> None:
+    """Parse the raw zone once into the columnar document table. An empty raw zone
+    is seen by its file listing, before anything is parsed.
 
     Default: the table mirrors the whole raw zone (static overwrite), as the
     reference re-reads all history every run. With ``cfg.parse_ingest_dates``
@@ -97,11 +119,11 @@ def parse_documents(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> Non
     the incremental mode for an append-only raw zone.
     """
     docs = read_documents(spark, cfg.raw_root, cfg.layout, ingest_dates=cfg.parse_ingest_dates)
-    if docs.select(*MATCH_SCHEMA.names).isEmpty():
+    if not docs.inputFiles():
         raise EmptySourceError(f"no documents under {cfg.raw_root}; the document table stays as it is")
     mode = "static" if cfg.parse_ingest_dates is None else "dynamic"
     (
-        docs.drop("source_file")
+        watch(docs.drop("source_file"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy("ingest_date")
@@ -113,12 +135,12 @@ def _documents(spark: SparkSession, doc_path: str) -> DataFrame:
     return spark.read.schema(READ_SCHEMA).parquet(doc_path)
 
 
-def build_dwd_match(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> None:
+def build_dwd_match(spark: SparkSession, cfg: DailyConfig, doc_path: str, watch=_as_is) -> None:
     frames = frames_from_documents(_documents(spark, doc_path))
-    overwrite_partitions(spark, build_match(frames), qualified(cfg.database, "dwd_match"))
+    overwrite_partitions(spark, watch(build_match(frames)), qualified(cfg.database, "dwd_match"))
 
 
-def build_dwd_player_match(spark: SparkSession, cfg: DailyConfig, doc_path: str) -> int:
+def build_dwd_player_match(spark: SparkSession, cfg: DailyConfig, doc_path: str, watch=_as_is) -> int:
     """Player rows with the non-empty guard (G1) and fan-out guard."""
     docs = _documents(spark, doc_path)
     totals = docs.agg(
@@ -136,7 +158,7 @@ def build_dwd_player_match(spark: SparkSession, cfg: DailyConfig, doc_path: str)
             raise FanoutError(f"{actual} player rows from arrays that hold {totals['expected']}")
         overwrite_partitions(
             spark,
-            players,
+            watch(players),
             qualified(cfg.database, "dwd_player_match"),
             full_refresh=cfg.full_refresh_player_match,
         )
@@ -160,29 +182,32 @@ def run_daily(spark: SparkSession, batch_date: str, cfg: DailyConfig) -> DataFra
     t = lambda name: qualified(db, name)
     log = StageLog()
     try:
-        log.run("parse_documents", lambda: parse_documents(spark, cfg, doc_path))
-        log.run("dwd_match", lambda: build_dwd_match(spark, cfg, doc_path))
-        log.run("dwd_player_match", lambda: build_dwd_player_match(spark, cfg, doc_path))
-
-        def dims():
-            overwrite_table(spark, build_dim_champion(spark.table(t("dwd_player_match"))), t("dim_champion"))
-            overwrite_table(spark, build_dim_queue(spark.table(t("dwd_match"))), t("dim_queue"))
-            overwrite_table(spark, build_dim_patch(spark.table(t("dwd_match"))), t("dim_patch"))
+        log.run("parse_documents", lambda watch: parse_documents(spark, cfg, doc_path, watch))
+        log.run("dwd_match", lambda watch: build_dwd_match(spark, cfg, doc_path, watch))
+        log.run("dwd_player_match", lambda watch: build_dwd_player_match(spark, cfg, doc_path, watch))
+
+        def dims(watch):
+            for name, build, source in (
+                ("dim_champion", build_dim_champion, "dwd_player_match"),
+                ("dim_queue", build_dim_queue, "dwd_match"),
+                ("dim_patch", build_dim_patch, "dwd_match"),
+            ):
+                overwrite_table(spark, watch(build(spark.table(t(source)))), t(name))
 
         log.run("dim", dims)
         log.run(
             "dws",
-            lambda: overwrite_partitions(
+            lambda watch: overwrite_partitions(
                 spark,
-                build_champion_day(spark.table(t("dwd_player_match")), spark.table(t("dwd_match"))),
+                watch(build_champion_day(spark.table(t("dwd_player_match")), spark.table(t("dwd_match")))),
                 t("dws_champion_day"),
             ),
         )
         log.run(
             "ads",
-            lambda: overwrite_partitions(
+            lambda watch: overwrite_partitions(
                 spark,
-                build_champion_day_metrics(spark.table(t("dws_champion_day"))),
+                watch(build_champion_day_metrics(spark.table(t("dws_champion_day")))),
                 t("ads_champion_day_metrics"),
             ),
         )
@@ -193,14 +218,11 @@ def run_daily(spark: SparkSession, batch_date: str, cfg: DailyConfig) -> DataFra
             spark.table(t("ads_champion_day_metrics")),
             cfg.expected_players,
         )
-        log.run(
-            "dq",
-            lambda: quality.run_checks(spark, inputs, batch_date, t(cfg.history_table)),
-        )
+        log.run("dq", lambda _: quality.run_checks(spark, inputs, batch_date, t(cfg.history_table)))
         if cfg.jdbc_url:
             log.run(
                 "publish",
-                lambda: publish_jdbc(
+                lambda _: publish_jdbc(
                     spark,
                     spark.table(t("ads_champion_day_metrics")),
                     cfg.jdbc_url,

@@ -36,7 +36,8 @@ from matchmart.operators.graph import (
     seed_players,
 )
 from matchmart.operators.idindex import IdIndex
-from matchmart.plans import landing, profile, quality
+from matchmart.plans import landing, profile, quality, tables, versions
+from matchmart.plans.daily import StageLog
 from matchmart.plans.warehouse import (
     Layers,
     build_champion_day,
@@ -52,6 +53,7 @@ from matchmart.schema import (
     CORRUPT_COLUMN,
     DOCUMENT_SCHEMA,
     INFO_SCHEMA,
+    LAYER_DDL,
     METADATA_SCHEMA,
     PARTICIPANT_FIELDS,
     PARTICIPANT_SCHEMA,
@@ -91,6 +93,9 @@ RECENT_PER_PLAYER = 20  # candidates per player (collector default)
 COLLECT_RECENT = 200  # candidates per player of the collector's loop here (its matches are rarely valid)
 COLLECT_TARGET = 3  # new valid matches after which the loop stops
 CUT_TARGET = 3  # a batch target below what the batch offers
+LAYER_TABLES = ["dwd_match", "dwd_player_match", "dws_champion_day", "ads_champion_day_metrics"]
+DATABASE = "matchmart"
+OVERWRITTEN_YEAR = "1996"  # the part of the table that the overwrite keys write again
 PREVIEW_ROWS = 30  # rows shown by the preview
 SLICE = {"queue_id": 420, "date_from": "1996-01-01", "date_to": "1997-12-31"}
 SHORT_SECONDS = 300
@@ -120,19 +125,42 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
 def stored_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The layers as stored tables, for what reads a layer: each is built from the
     stored one below, once per input snapshot."""
-    names = ["dwd_match", "dwd_player_match", "dws_champion_day", "ads_champion_day_metrics"]
     root = _landed(spark, sf_dir, "layers")
-    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+    return {n: spark.read.parquet(f"{root}/{n}") for n in LAYER_TABLES}
 
 
 def _store_layers(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Each layer and the log of their stages; rows are counted as they are written."""
     live = layers(spark, sf_dir)
     read = lambda name: spark.read.parquet(f"{root}/{name}")
-    live.dwd_match.write.parquet(f"{root}/dwd_match")
-    live.dwd_player_match.write.parquet(f"{root}/dwd_player_match")
-    day = build_champion_day(read("dwd_player_match"), read("dwd_match"))
-    day.write.parquet(f"{root}/dws_champion_day")
-    build_champion_day_metrics(read("dws_champion_day")).write.parquet(f"{root}/ads_champion_day_metrics")
+    log = StageLog()
+    for name, build in (
+        ("dwd_match", lambda: live.dwd_match),
+        ("dwd_player_match", lambda: live.dwd_player_match),
+        ("dws_champion_day", lambda: build_champion_day(read("dwd_player_match"), read("dwd_match"))),
+        ("ads_champion_day_metrics", lambda: build_champion_day_metrics(read("dws_champion_day"))),
+    ):
+        log.run(name, lambda watch, name=name, build=build: watch(build()).write.parquet(f"{root}/{name}"))
+    log.to_df(spark).write.parquet(f"{root}/stage_log")
+
+
+def catalog_layers(spark: SparkSession, sf_dir: str) -> str:
+    """A database of this session whose tables are the stored layers; its name."""
+    root = _landed(spark, sf_dir, "layers")
+    name = f"{DATABASE}_{_snapshot_tag(spark, sf_dir)}"
+    with _LANDING_LOCK:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch_dir(spark, name)}'")
+        for table in LAYER_TABLES:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name}.{table} USING parquet LOCATION '{root}/{table}'")
+    return name
+
+
+def _own_table(spark: SparkSession, database: str, columns: str, partition: str | None = None) -> str:
+    """A new empty table for one call of a write-then-read key; its name."""
+    name = f"{database}.t_{uuid.uuid4().hex}"
+    by = f" PARTITIONED BY ({partition})" if partition else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING orc{by} LOCATION '{scratch_dir(spark)}'")
+    return name
 
 
 def built_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +180,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_text(spark, staging(spark, sf_dir))
 
 
-LANDING_VERSION = "2"  # bump when the landed layout or document mapping changes
+LANDING_VERSION = "3"  # bump when the landed layout or document mapping changes
 
 
 def _snapshot_tag(spark: SparkSession, sf_dir: str) -> str:
@@ -307,14 +335,118 @@ def q_ods_raw(spark, sf_dir):
 
 @query("layer_row_counts")
 def q_layer_row_counts(spark, sf_dir):
-    """S6, A1, PF4: row count of each of the four layers (one union)."""
+    """S6, A1, PF4: row count of each of the four layers, read from the catalog."""
+    database = catalog_layers(spark, sf_dir)
+    counts = tables.row_counts(spark, [f"{database}.{t}" for t in LAYER_TABLES])
+    return counts.select(F.substring_index("layer", ".", -1).alias("layer"), "cnt")
+
+
+# --- tables: written, then read from the catalog ------------------------------
+
+
+@query("stage_log")
+def q_stage_log(spark, sf_dir):
+    """Rows that each stage of building the layers wrote, and their total."""
+    root = _landed(spark, sf_dir, "layers")
+    return spark.read.parquet(f"{root}/stage_log").select("stage", "rows", "status")
+
+
+def _by_year(spark, sf_dir):
+    """Matches by year: the table that the overwrite keys write."""
+    rows = stored_layers(spark, sf_dir)["dwd_match"]
+    return rows.select("match_id", "game_id", F.substring("dt", 1, 4).alias("dt"))
+
+
+@query("overwrite_by_date")
+def q_overwrite_by_date(spark, sf_dir):
+    """A table written whole, then overwritten by half of one year's
+    matches. Dynamic mode keeps the years that have vanished, static drops them."""
+    database = catalog_layers(spark, sf_dir)
+    rows = _by_year(spark, sf_dir)
+    again = rows.where((F.col("dt") == OVERWRITTEN_YEAR) & (F.col("game_id") % 2 == 0))
     out = None
-    for name, df in stored_layers(spark, sf_dir).items():
-        c = df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(name).alias("layer"), "cnt")
-        out = c if out is None else out.unionByName(c)
+    for mode in ("dynamic", "static"):
+        table = _own_table(spark, database, "match_id STRING, game_id BIGINT, dt STRING", "dt")
+        tables.overwrite_partitions(spark, rows, table)
+        tables.overwrite_partitions(spark, again, table, full_refresh=mode == "static")
+        kept = spark.table(table).groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum("game_id").alias("ids"))
+        kept = kept.select(F.lit(mode).alias("mode"), "dt", "n", "ids")
+        out = kept if out is None else out.unionByName(kept)
     return out
 
 
+@query("swapped_partitions")
+def q_swapped_partitions(spark, sf_dir):
+    """K1, K2 for tables with readers: the same two overwrites as versions that the
+    catalog is switched to. ``before`` was planned in between, is run after the
+    last one, and still sees the whole first version."""
+    database = catalog_layers(spark, sf_dir)
+    rows = _by_year(spark, sf_dir)
+    again = rows.where((F.col("dt") == OVERWRITTEN_YEAR) & (F.col("game_id") % 2 == 0))
+    out = None
+    for mode in ("dynamic", "static"):
+        table = _own_table(spark, database, "match_id STRING, game_id BIGINT, dt STRING", "dt")
+        versions.swap_partitions(spark, rows, table)
+        before = versions.swap_summary(spark, table, "game_id")
+        before._jdf.queryExecution().executedPlan()
+        versions.swap_partitions(spark, again, table, full_refresh=mode == "static")
+        # Run as it was planned (within another query it would be planned anew);
+        # one row a partition.
+        before = spark.createDataFrame(before.collect(), before.schema)
+        after = versions.swap_summary(spark, table, "game_id")
+        for name, seen in (("before", before), ("after", after)):
+            seen = seen.select(F.lit(mode).alias("mode"), F.lit(name).alias("planned"), "dt", "n", "ids")
+            out = seen if out is None else out.unionByName(seen)
+    return out
+
+
+@query("overwrite_then_append")
+def q_overwrite_then_append(spark, sf_dir):
+    """K3, K4: an unpartitioned table is overwritten whole, then appended to by
+    position."""
+    table = _own_table(spark, catalog_layers(spark, sf_dir), "match_id STRING, game_id BIGINT, dt STRING")
+    rows = _by_year(spark, sf_dir)
+    tables.overwrite_table(spark, rows, table)
+    tables.overwrite_table(spark, rows.where(F.col("dt") == OVERWRITTEN_YEAR), table)
+    tables.append(spark, rows.where(F.col("game_id") % 3 == 0), table)
+    return spark.table(table).groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum("game_id").alias("ids"))
+
+
+@query("registered_partitions")
+def q_registered_partitions(spark, sf_dir):
+    """K5, K6: partitions written beside the catalog; the batch's own are
+    registered, and the table shows those."""
+    database = catalog_layers(spark, sf_dir)
+    root = scratch_dir(spark)
+    rows = stored_layers(spark, sf_dir)["dwd_match"].select("match_id", F.col("source_ingest_date").alias("ingest_date"))
+    rows.write.partitionBy("ingest_date").parquet(root)
+    table = f"{database}.t_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {table} (match_id STRING, ingest_date STRING) USING parquet "
+        f"PARTITIONED BY (ingest_date) LOCATION '{root}'"
+    )
+    tables.add_partitions(spark, table, "ingest_date", [BATCH_DATE])
+    return spark.table(table).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("dq_history")
+def q_dq_history(spark, sf_dir):
+    """Two runs of the rules appended to the history table; the
+    gate stops each after its rows are written."""
+    database = catalog_layers(spark, sf_dir)
+    table = _own_table(spark, database, LAYER_DDL["dq_check_result"][0])
+    stopped = 0
+    for day in (LANDED_DATE, BATCH_DATE):
+        try:
+            quality.run_checks(spark, quality_inputs(spark, sf_dir), day, table, run_id=f"run of {day}")
+        except quality.QualityGateError:
+            stopped += 1
+    return spark.table(table).select(
+        "run_id", "rule_id", "status", "actual_value", "batch_date",
+        F.col("check_time").isNotNull().alias("timed"), F.lit(stopped).alias("runs_stopped"),
+    )
+
+
 # --- projections / expressions ---------------------------------------------
 
 
@@ -797,6 +929,27 @@ def q_compact_jsonl(spark, sf_dir):
     return landing.compaction_reconciliation(written, manifest.select("match_id"), BATCH_DATE)
 
 
+@query("missing_from_torn")
+def q_missing_from_torn(spark, sf_dir):
+    """Manifest ids without a landed document where some arrive torn or
+    nameless."""
+    _, manifest = _manifest(spark, sf_dir)
+    torn = read_documents(spark, dirty(spark, sf_dir), "jsonl", ingest_dates=[BATCH_DATE])
+    return landing.manifest_missing(manifest, landing.landed_ids(torn))
+
+
+@query("compact_torn_jsonl")
+def q_compact_torn_jsonl(spark, sf_dir):
+    """The reconciliation of a compaction that lost and doubled documents."""
+    _, manifest = _manifest(spark, sf_dir)
+    raw = read_raw_text(spark, dirty(spark, sf_dir)).where(F.col("ingest_date") == BATCH_DATE)
+    raw = raw.where(F.try_parse_json("raw_json").isNotNull())
+    out = scratch_dir(spark, f"compact-{uuid.uuid4().hex}")
+    land_jsonl(landing.compact_batch(raw, manifest, BATCH_DATE), out)
+    written = read_raw_text(spark, out).where(F.col("ingest_date") == BATCH_DATE)
+    return landing.compaction_reconciliation(written, manifest.select("match_id"), BATCH_DATE)
+
+
 # --- graph ------------------------------------------------------------------
 
 
