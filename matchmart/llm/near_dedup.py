@@ -13,9 +13,10 @@ Documents with 100 * common >= 75 * union are linked, and links make groups.
    different components are compared on, first the remaining pairs with the
    smallest id, then pairs across components: a pair is compared unless it is
    already in one component or the sets' profiles (how many shingles fall into
-   each of 128 classes) show that too few can be common. So no link between
-   different texts is lost, and a group of similar documents never makes all
-   its pairs.
+   each of 128 classes) show that too few can be common. Profiles are compared
+   in dense tiles of bounded size, and only what they leave comes out. So no
+   link between different texts is lost, and a group of similar documents never
+   makes all its pairs.
 
 Sets travel only for the documents of surviving pairs.
 """
@@ -42,6 +43,7 @@ PERCENT = 75
 LEAST_AGREEING = 180
 
 PROFILE = 128  # classes of shingles
+PIECE, TILE = 2048, 512  # rows of a piece of a bucket, and compared at a time
 
 _seeds = np.random.default_rng(11)
 _MULTIPLY = _seeds.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -151,13 +153,61 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(0, batch.num_rows, 1024):
             part = batch.slice(i, 1024)
             sets = [np.frombuffer(s.as_py(), np.uint64) for s in part.column(1)]
-            counts = [np.bincount((s >> np.uint64(40)).astype(np.int64) % PROFILE, minlength=PROFILE) for s in sets]
+            counts = [
+                np.bincount((s >> np.uint64(40)).astype(np.int64) % PROFILE, minlength=PROFILE).astype("<i4").tobytes()
+                for s in sets
+            ]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(counts, pa.list_(pa.int32()))],
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(counts, pa.binary())],
                 names=["x", "n", "profile"],
             )
 
 
+def _possible(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
+    """The pairs of a tile, of different components, whose profiles allow for enough
+    common shingles: two sets share at most the sum of the smaller counts."""
+    _, one, two = (k.as_py() for k in key)
+    x, c, n = (part.column(name).to_numpy() for name in ("x", "c", "n"))
+    profile = np.frombuffer(b"".join(part.column("profile").to_pylist()), "<i4").reshape(-1, PROFILE)
+    second = part.column("second").to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero(~second)
+    others = rows if one == two else np.flatnonzero(second)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(0, len(rows), TILE):
+        a = rows[i : i + TILE]
+        for j in range(0, len(others), TILE):
+            b = others[j : j + TILE]
+            most = np.zeros((len(a), len(b)), np.int32)
+            for k in range(PROFILE):
+                most += np.minimum(profile[a, k][:, None], profile[b, k][None, :])
+            good = (100 + PERCENT) * most.astype(np.int64) >= PERCENT * (n[a][:, None] + n[b][None, :])
+            good &= c[a][:, None] != c[b][None, :]
+            if one == two:
+                good &= x[a][:, None] < x[b][None, :]  # each pair of the piece once
+            p, q = np.nonzero(good)
+            left.append(np.minimum(x[a[p]], x[b[q]]))
+            right.append(np.maximum(x[a[p]], x[b[q]]))
+    return pa.table({"x": np.concatenate(left), "y": np.concatenate(right)})
+
+
+def possible_pairs(members: DataFrame) -> DataFrame:
+    """Distinct pairs (x, y) of the members (band, x, c, n, profile) of each bucket
+    that ``_possible`` leaves. A bucket is dealt to pieces of some ``PIECE`` rows,
+    and each pair of pieces is one group, so a group's size is bounded and the
+    evaluations of a large bucket are spread over tasks."""
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    sizes = sizes.select("band", F.expr(f"(size - 1) div {PIECE} + 1").alias("pieces"))
+    dealt = members.join(sizes, "band")
+    dealt = dealt.withColumn("__p", F.pmod(F.xxhash64("x", "band"), F.col("pieces")))
+    dealt = dealt.withColumn("__q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    dealt = dealt.select(
+        "band", "x", "c", "n", "profile",
+        F.least("__p", "__q").alias("one"), F.greatest("__p", "__q").alias("two"),
+        (F.col("__p") > F.col("__q")).alias("second"),
+    )
+    return dealt.groupBy("band", "one", "two").applyInArrow(_possible, "x long, y long").distinct()
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = []
@@ -279,14 +329,9 @@ def _grouped(docs: DataFrame) -> DataFrame:
     open_ = staged(labelled.join(mixed.select("band"), "band", "left_semi"), "mixed-buckets")
     # Two sets share at most the sum of the smaller counts of their profiles.
     sets = groups.sets(open_.select(F.col("x").alias("id")), "open")
-    profile = sets.mapInArrow(_profiles, "x long, n long, profile array<int>")
+    profile = sets.mapInArrow(_profiles, "x long, n long, profile binary")
     left = staged(open_.drop("y").join(profile, "x"), "open-members")
-    right = left.selectExpr("band", "x AS y", "c AS d", "n AS ny", "profile AS profile_y")
-    most = "aggregate(zip_with(profile, profile_y, (a, b) -> least(a, b)), 0, (a, b) -> a + b)"
-    near_by = F.expr(
-        f"left.band = right.band AND x < y AND c <> d AND {100 + PERCENT} * {most} >= {PERCENT} * (n + ny)"
-    )
-    cross = left.alias("left").join(right.alias("right"), near_by).select("x", "y").distinct()
+    cross = possible_pairs(left)
     third = groups.compare(cross.withColumn("m", F.lit(1).cast("long")), "cross", sets=sets)
     dropped(third, comps, members, sets, left)
     comps = groups.components()
