@@ -17,11 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: one computation,
     no lineage, and a copy that outlives the executors that made it."""
     path = scratch_dir(df.sparkSession, f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.staged_path = path  # for dropped()
     return back

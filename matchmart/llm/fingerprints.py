@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,13 +50,17 @@ class Vector:
     def __sub__(self, other: Vector) -> Vector:
         return Vector(self.whole - other.whole, self.signs - other.signs)
 
-    def __str__(self) -> str:
-        """The fingerprint: the 8 numbers in hex, then the signs' sums in the
-        narrowest signed integers that hold them (their width comes first)."""
+    def __bytes__(self) -> bytes:
+        """The 8 numbers, then the signs' sums in the narrowest signed integers that
+        hold them, after a byte that says how wide these are."""
         sums = self.signs.view(np.int32)
         width = next(w for w in (1, 2, 4) if w == 4 or abs(sums.astype(np.int64)).max() < 1 << (8 * w - 1))
-        packed = sums.astype(f"<i{width}").tobytes()
-        return f"{self.whole.astype('<u8').tobytes().hex()}.{width}.{base64.b64encode(packed).decode()}"
+        return self.whole.astype("<u8").tobytes() + bytes([width]) + sums.astype(f"<i{width}").tobytes()
+
+    def __str__(self) -> str:
+        """The fingerprint as text; ``readable`` makes the same in Spark."""
+        raw = bytes(self)
+        return f"{raw[: 8 * WIDE].hex()}.{raw[8 * WIDE]}.{base64.b64encode(raw[8 * WIDE + 1 :]).decode()}"
 
 
 def likeness(a: Vector, b: Vector) -> float:
@@ -68,6 +72,16 @@ def likeness(a: Vector, b: Vector) -> float:
     return float(np.clip(2 * (x @ y) / size, 0.0, 1.0)) if size else 0.0
 
 
+def readable(raw: str) -> Column:
+    """The text of a column of fingerprints as bytes."""
+    n = 8 * WIDE
+    return F.expr(
+        f"concat(lower(hex(substring({raw}, 1, {n}))), '.', conv(hex(substring({raw}, {n + 1}, 1)), 16, 10), '.', "
+        # Without the line breaks that some settings put into long texts.
+        f"replace(base64(substring({raw}, {n + 2}, {4 * SIGNS})), char(13) || char(10)))"
+    )
+
+
 def paragraphs(pieces: list[bytes]) -> Vector:
     """The sum over ``pieces``."""
     whole = b"".join(hashlib.blake2b(p).digest() for p in pieces)
@@ -121,11 +135,11 @@ def _judge(text: str, vector: Vector, following: str, next_vector: Vector) -> tu
     half = len(text) // 2
     kept, tail = text[: len(text) - half].encode(), following[:half].encode()
     edited = replaced_tail(text.encode(), vector, len(kept), tail)
-    digest = hashlib.sha256(kept + tail).hexdigest()
-    return len(text), digest, str(vector), str(edited), likeness(vector, edited), likeness(vector, next_vector)
+    digest = hashlib.sha256(kept + tail).digest()
+    return len(text), digest, bytes(vector), bytes(edited), likeness(vector, edited), likeness(vector, next_vector)
 
 
-_RESULT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT = "n_chars long, sha binary, own binary, edited binary, near_edited double, near_next double"
 
 
 def _schema(docs: DataFrame, *extra: str) -> T.StructType:
@@ -191,9 +205,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions(*order, "text")
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
-    rows = staged(sorted_rows.mapInArrow(run, schema), "fingerprints")
+    # As bytes, compressed: text would take half as much again of the shared folder.
+    rows = staged(sorted_rows.mapInArrow(run, schema), "fingerprints", compression="zstd")
     names = ["doc_id", *[f.name for f in T._parse_datatype_string(_RESULT)]]
-    return rows.where("edge IS NULL").select(*names).unionAll(_at_edges(rows, names))
+    return rows.where("edge IS NULL").select(*names).unionAll(_at_edges(rows, names)).select(
+        "doc_id",
+        "n_chars",
+        F.lower(F.hex("sha")).alias("edited_sha256"),
+        readable("own").alias("fingerprint"),
+        readable("edited").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
 
 
 def _at_edges(rows: DataFrame, names: list[str]) -> DataFrame:
