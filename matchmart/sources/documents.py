@@ -5,8 +5,7 @@ Layouts (all partitioned by ``ingest_date=YYYY-MM-DD``):
 * raw zone: pretty-printed JSON. A file holds one document or a JSON array of
   documents; we land arrays bounded by documents and by bytes, so that a batch is
   neither millions of tiny files nor a few that can't be split. A file is read
-  as one text and parsed once, as VARIANT, from memory; its documents are cast to
-  the fields that are asked for;
+  as one text and parsed once, from memory, for the fields that are asked for;
 * staging: compact JSON Lines, one document per line (also the ODS raw-text
   table ``(raw_json, ingest_date)``).
 
@@ -17,7 +16,7 @@ path from the ``_metadata`` column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,27 +71,40 @@ def parse_files(files: DataFrame, fields: T.StructType = DOCUMENT_SCHEMA) -> Dat
     ``metadata``, ``info`` with text leaves, the corrupt-record text, then
     ``ingest_date`` and ``source_file``.
 
-    A file that isn't JSON is one row with its text as the corrupt record and
-    nothing else; so is a value of a file's array that isn't an object. An empty
-    array has no documents. What VARIANT refuses though it is JSON (a file over
-    its size limit, repeated keys) goes through the JSON parser.
+    A file is one text, so the exact text of a number is at hand and fields that
+    aren't asked for are skipped by the parser. A file that isn't a document or
+    an array of documents goes through VARIANT value by value: each value that
+    isn't an object is a row with its text as the corrupt record and nothing
+    else, and so is the text of a file that isn't JSON. An empty array has no
+    documents.
     """
     kind = lenient(fields)
-    items = _values(files).withColumn(
-        "doc",
-        F.when(F.ltrim("item.text").startswith("{"), F.from_json("item.text", kind)).otherwise(
-            F.try_variant_get("item.v", "$", kind.simpleString())
-        ),
-    )
-    corrupt = F.coalesce(F.to_json("item.v"), F.col("item.text"), F.col("unread"))
-    return items.select(
-        *[F.col(f"doc.{f.name}").alias(f.name) for f in kind.fields],
-        F.when(F.col("doc").isNull(), corrupt).alias(CORRUPT_COLUMN),
+    parsed = files.withColumn("docs", F.from_json("value", T.ArrayType(kind)))
+    whole = F.col("docs").isNotNull() & ~F.exists("docs", lambda d: d.isNull())
+    v = F.try_parse_json("value")
+    values = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+    one_by_one = F.when(v.isNotNull(), F.transform(values, lambda d: _item(F.try_variant_get(d, "$", kind.simpleString()), d)))
+    as_read = F.transform("docs", lambda d: _item(d, F.lit(None).cast("variant")))
+    rows = parsed.select("value", "ingest_date", "source_file", F.when(whole, as_read).otherwise(one_by_one).alias("items"))
+    # One row for a file that isn't JSON, none for an empty array. A file's text
+    # doesn't go with its documents.
+    rows = rows.where(F.col("items").isNull() | (F.size("items") > 0))
+    unread = F.when(F.col("items").isNull(), F.col("value"))
+    rows = rows.select(unread.alias("unread"), "ingest_date", "source_file", "items")
+    rows = rows.select("unread", "ingest_date", "source_file", F.explode_outer("items").alias("item"))
+    return rows.select(
+        *[F.col(f"item.doc.{f.name}").alias(f.name) for f in kind.fields],
+        F.coalesce("item.raw", "unread").alias(CORRUPT_COLUMN),
         "ingest_date",
         "source_file",
     )
 
 
+def _item(doc: Column, value: Column) -> Column:
+    """A document, or the text of a value that isn't one."""
+    return F.struct(doc.alias("doc"), F.when(doc.isNull(), F.to_json(value)).alias("raw"))
+
+
 def _values(files: DataFrame) -> DataFrame:
     """Adds ``item``: each value of a file's array, or the file's only value, as
     VARIANT (``v``) or, where that refused the file, as JSON ``text``. A file that
