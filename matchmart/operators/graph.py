@@ -112,12 +112,15 @@ def collect_to_target(
                 reached = excluding(reached, matches, "match_id")
             reached = materialize(reached, f"collect-matches{hop}")
             kept.append(reached)
-            new = excluding(reached, landed.select("match_id"), "match_id")
-            # A top-k where the target cuts the hop; nothing is cut before.
-            new = materialize(new.orderBy("match_id").limit(target - n), f"collect-new{hop}")
+            new = materialize(excluding(reached, landed.select("match_id"), "match_id"), f"collect-new{hop}")
             kept.append(new)
+            more = new.count()
+            # A top-k where the target cuts the hop; nothing is cut before. (Spark
+            # makes room for the whole limit, however few rows there are.)
+            if n + more > target:
+                new = new.orderBy("match_id").limit(target - n)
             found.append(new.select(F.lit(hop).alias("hop"), "match_id"))
-            n += new.count()
+            n = min(n + more, target)
             matches = reached if matches is None else matches.unionByName(reached)
             fresh = members(edges, reached, "match_id").select("puuid").distinct()
             frontier = materialize(excluding(fresh, players, "puuid"), f"collect-players{hop}")
