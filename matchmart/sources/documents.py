@@ -83,46 +83,41 @@ def parse_files(files: DataFrame, fields: T.StructType = DOCUMENT_SCHEMA) -> Dat
     whole = F.col("docs").isNotNull() & ~F.exists("docs", lambda d: d.isNull())
     v = F.try_parse_json("value")
     values = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
-    one_by_one = F.when(v.isNotNull(), F.transform(values, lambda d: _item(F.try_variant_get(d, "$", kind.simpleString()), d)))
-    as_read = F.transform("docs", lambda d: _item(d, F.lit(None).cast("variant")))
-    rows = parsed.select("value", "ingest_date", "source_file", F.when(whole, as_read).otherwise(one_by_one).alias("items"))
-    # One row for a file that isn't JSON, none for an empty array. A file's text
-    # doesn't go with its documents.
-    rows = rows.where(F.col("items").isNull() | (F.size("items") > 0))
-    unread = F.when(F.col("items").isNull(), F.col("value"))
-    rows = rows.select(unread.alias("unread"), "ingest_date", "source_file", "items")
-    rows = rows.select("unread", "ingest_date", "source_file", F.explode_outer("items").alias("item"))
+    one_by_one = F.transform(values, lambda d: _item(F.try_variant_get(d, "$", kind.simpleString()), F.to_json(d)))
+    as_read = F.transform("docs", lambda d: _item(d, F.lit(None).cast("string")))
+    not_json = F.array(_item(F.lit(None).cast(kind), F.col("value")))
+    items = F.when(whole, as_read).when(v.isNotNull(), one_by_one).otherwise(not_json)
+    # Nothing filters the items: a filter would be moved below the parsing and
+    # parse again.
+    rows = parsed.select("ingest_date", "source_file", F.explode(items).alias("item"))
     return rows.select(
         *[F.col(f"item.doc.{f.name}").alias(f.name) for f in kind.fields],
-        F.coalesce("item.raw", "unread").alias(CORRUPT_COLUMN),
+        F.col("item.raw").alias(CORRUPT_COLUMN),
         "ingest_date",
         "source_file",
     )
 
 
-def _item(doc: Column, value: Column) -> Column:
-    """A document, or the text of a value that isn't one."""
-    return F.struct(doc.alias("doc"), F.when(doc.isNull(), F.to_json(value)).alias("raw"))
+def _item(doc: Column, text: Column) -> Column:
+    """A document, or the text of what isn't one."""
+    return F.struct(doc.alias("doc"), F.when(doc.isNull(), text).alias("raw"))
 
 
 def _values(files: DataFrame) -> DataFrame:
-    """Adds ``item``: each value of a file's array, or the file's only value, as
-    VARIANT (``v``) or, where that refused the file, as JSON ``text``. A file that
-    isn't JSON keeps one row with a NULL item and its text as ``unread``."""
+    """(ingest_date, source_file, item): each value of a file's array, or the file's
+    only value, as VARIANT (``v``) or, where that refuses the file (over its size
+    limit, repeated keys), as JSON ``text``. A file that isn't JSON has one item
+    with neither."""
     parsed = files.withColumn("v", F.try_parse_json("value"))
+    item = lambda v, text: F.struct(v.alias("v"), text.alias("text"))
+    no_v, no_text = F.lit(None).cast("variant"), F.lit(None).cast("string")
     array = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
-    as_variant = F.transform(array, lambda d: F.struct(d.alias("v"), F.lit(None).cast("string").alias("text")))
     alone = F.when(F.get_json_object("value", "$").isNotNull(), F.array("value"))
-    texts = F.coalesce(F.from_json("value", "array<string>"), alone)
-    as_text = F.transform(texts, lambda t: F.struct(F.lit(None).cast("variant").alias("v"), t.alias("text")))
-    items = F.when(F.col("v").isNotNull(), as_variant).otherwise(as_text)
-    rows = parsed.select("value", "ingest_date", "source_file", items.alias("items"))
-    # One row for a file that isn't JSON, none for an empty array. A file's text
-    # doesn't go with its documents.
-    rows = rows.where(F.col("items").isNull() | (F.size("items") > 0))
-    unread = F.when(F.col("items").isNull(), F.col("value"))
-    rows = rows.select(unread.alias("unread"), "ingest_date", "source_file", "items")
-    return rows.select("unread", "ingest_date", "source_file", F.explode_outer("items").alias("item"))
+    texts = F.coalesce(F.from_json("value", "array<string>"), alone, F.array(no_text))
+    items = F.when(F.col("v").isNotNull(), F.transform(array, lambda d: item(d, no_text))).otherwise(
+        F.transform(texts, lambda t: item(no_v, t))
+    )
+    return parsed.select("ingest_date", "source_file", F.explode(items).alias("item"))
 
 
 def ingest_date_from_path(path_col="source_file"):

@@ -80,4 +80,5 @@ def test_profile_is_one_pass(plans):
 def test_raw_scans_parse_a_file_from_memory(plans):
     for name in ("scan_documents", "scan_one_ingest_date", "source_ingest_date"):
         assert "FileScan text" in plans[name] and "FileScan json" not in plans[name]
+        assert plans[name].count("from_json") == 1  # parsed once, by no filter too
     assert "PartitionFilters: [isnotnull(ingest_date" in plans["scan_one_ingest_date"]
