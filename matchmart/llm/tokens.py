@@ -23,7 +23,7 @@ import pyarrow as pa
 VOCABULARY = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
-SLICE = 2 << 20  # bytes of texts encoded together; a longer text is encoded in pieces
+SLICE = 1 << 19  # bytes of texts encoded together (about 100 a byte are held); a longer text is encoded in pieces
 _JOIN = 20_000  # units encoded in one call
 
 _BREAK = np.zeros(256, bool)
