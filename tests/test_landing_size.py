@@ -95,3 +95,9 @@ def test_buckets_grow_with_the_table(spark):
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert [buckets(spark, n) for n in (0, 1, 1 << 40)] == [1, 1, 1 << 17]
     assert buckets(spark, width << 20) == width
+
+
+def test_a_manifest_reads_the_documents_once(spark, tables_dir):
+    _, manifest = registry._manifest(spark, tables_dir)
+    read = manifest.inputFiles()
+    assert read and not any("/jsonl-" in f for f in read)
