@@ -101,3 +101,30 @@ def test_a_manifest_reads_the_documents_once(spark, tables_dir):
     _, manifest = registry._manifest(spark, tables_dir)
     read = manifest.inputFiles()
     assert read and not any("/jsonl-" in f for f in read)
+
+
+def test_a_rule_stores_the_layers_it_reads(spark, tmp_path):
+    spark.range(30).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "1.5D AS o_totalprice",
+        "timestamp'1996-03-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    # Four lines an order, but 20 in order 3, with numbers that come twice; 8 of them
+    # have their number alone, 4 numbers are shared by three.
+    spark.range(136).selectExpr(
+        "CASE WHEN id < 120 THEN id div 4 ELSE 3 END AS l_orderkey", "id % 9 AS l_partkey", "id % 10 AS l_suppkey",
+        "cast(CASE WHEN id < 120 THEN id % 4 + 1 ELSE (id - 120) % 12 + 1 END as int) AS l_linenumber",
+        "1.0D AS l_quantity", "id * 3.25D AS l_extendedprice", "0.1D AS l_discount", "0.1D AS l_tax",
+        "'A' AS l_returnflag", "'F' AS l_linestatus",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(9).selectExpr("id AS p_partkey", "concat('B', id) AS p_brand", "cast(id as int) AS p_size").write.parquet(
+        str(tmp_path / "part.parquet")
+    )
+    d = str(tmp_path)
+    shared = os.path.dirname(registry.staging(spark, d)).removeprefix("file:")
+    tag = registry._snapshot_tag(spark, d)
+    stored = lambda: {n for n in registry.LAYER_TABLES if os.path.exists(f"{shared}/{n}-{tag}")}
+    found = [registry.QUERIES[n](spark, d).first()["actual_value"] for n in ("dq03", "dq04")]
+    assert found == ["30", "4"] and stored() == {"dwd_player_match"}
+    registry.QUERIES["dq07"](spark, d).collect()
+    assert stored() == set(registry.LAYER_TABLES)
+    assert {r["rule_id"]: r["actual_value"] for r in registry.q_dq_report(spark, d).collect()}["DQ03"] == "30"
