@@ -112,3 +112,27 @@ def test_rules_fold_into_one_pass_per_table(small):
     plan = quality.report(inputs)._jdf.queryExecution().optimizedPlan().toString()
     # no cross join for DQ07 (J2 is an aggregate over a union)
     assert "Join Cross" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_rule_shuffles_a_player_row_once(spark):
+    """Players of a match are counted before a shuffle, not by shuffled pairs again."""
+    rows = spark.range(0, 4000, 1, 2).selectExpr(
+        "CASE WHEN id < 3960 THEN concat('M', id div 10) END AS match_id",
+        "cast(CASE WHEN id % 50 = 1 THEN 0 WHEN id % 70 <> 3 THEN id % 10 END as int) AS participant_id",
+    )
+    inputs = quality.QualityInputs(dwd_player_match=rows)
+    report = quality.rule_results(inputs, ["DQ03", "DQ04"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    # Two keyed shuffles, one a rule; the others gather one row a task.
+    assert plan.count("Exchange hashpartitioning(match_id") == 2
+    for rule in ("DQ03", "DQ04"):
+        plan = quality.rule_results(inputs, [rule])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(match_id") == 1
+    # The 40 rows without a match are one match; pairs with a NULL count too.
+    by_match, pairs = {}, {}
+    for r in rows.collect():
+        by_match[r[0]] = by_match.get(r[0], 0) + 1
+        pairs[tuple(r)] = pairs.get(tuple(r), 0) + 1
+    expected = [sum(n != 10 for n in by_match.values()), sum(n > 1 for n in pairs.values())]
+    found = {r["rule_id"]: int(r["actual_value"]) for r in report.collect()}
+    assert [found["DQ03"], found["DQ04"]] == expected and expected[0] == 1 and expected[1] > 50
