@@ -128,3 +128,12 @@ def test_a_rule_stores_the_layers_it_reads(spark, tmp_path):
     registry.QUERIES["dq07"](spark, d).collect()
     assert stored() == set(registry.LAYER_TABLES)
     assert {r["rule_id"]: r["actual_value"] for r in registry.q_dq_report(spark, d).collect()}["DQ03"] == "30"
+
+
+def test_rows_of_an_order_are_stored_side_by_side(spark, tables_dir):
+    with bucketed_documents(spark, tables_dir):
+        stored = [t.name for t in spark.catalog.listTables() if t.name.endswith(("_orders", "_lines"))]
+        assert len(stored) == 2
+        for name in stored:
+            kind = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+            assert kind["Bucket Columns"] == kind["Sort Columns"]
