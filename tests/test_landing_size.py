@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchmart import registry
+from matchmart.sources import tables as sources
 from matchmart.sources.documents import document_text, land_raw, read_documents, read_raw_text
 from matchmart.sources.tables import buckets, bucketed_documents, tables_to_documents
 
@@ -137,3 +138,27 @@ def test_rows_of_an_order_are_stored_side_by_side(spark, tables_dir):
         for name in stored:
             kind = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
             assert kind["Bucket Columns"] == kind["Sort Columns"]
+
+
+def test_lines_meet_large_parts_without_a_shuffle(spark, tables_dir):
+    """Not a line is shuffled for its part, whatever the parts' size, and lines of one
+    part are spread over tasks."""
+    expected = texts(document_text(tables_to_documents(spark, tables_dir)))
+    made, limit = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    write = sources._with_parts
+
+    def seen(lines, parts, *also):
+        made.append(write(lines, parts, *also))
+        return made[-1]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    sources._with_parts = seen
+    try:
+        with bucketed_documents(spark, tables_dir) as docs:
+            assert "Exchange" not in made[0]._jdf.queryExecution().executedPlan().toString()
+            stored = [t.name for t in spark.catalog.listTables() if t.name.endswith("_lines_by_part")]
+            assert spark.table(stored[0]).where("l_partkey = 7").select("l_salt").distinct().count() > 2
+            assert texts(document_text(docs)) == expected
+    finally:
+        sources._with_parts = write
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
