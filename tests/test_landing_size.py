@@ -162,3 +162,41 @@ def test_lines_meet_large_parts_without_a_shuffle(spark, tables_dir):
     finally:
         sources._with_parts = write
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_large_parts_are_copied_to_slices_of_the_orders(spark, tables_dir):
+    """Lines are stored once; of them only part and slice are brought to large parts, and
+    a slice gets a copy of each part that its lines name."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        with bucketed_documents(spark, tables_dir):
+            stored = {t.name.split("_", 2)[2]: spark.table(t.name) for t in spark.catalog.listTables() if t.name.startswith("t_")}
+            assert set(stored) == {"orders", "lines", "lines_by_part", "parts", "parts_by_slice"}
+            assert set(stored["lines_by_part"].columns) == {"l_partkey", "l_salt", "l_slice"}
+            lines, copies = stored["lines"], stored["parts_by_slice"]
+            assert {"bigint"} == {dict(stored[t].dtypes)[c] for t, c in (("lines", "l_slice"), ("orders", "o_slice"))}
+            parts = stored["parts"].where("p_salt = 0").select("p_partkey")
+            named = lines.selectExpr("l_slice", "l_partkey AS p_partkey").distinct().join(parts, "p_partkey")
+            assert sorted(map(tuple, copies.select("p_slice", "p_partkey").collect())) == sorted(
+                map(tuple, named.select("l_slice", "p_partkey").collect())
+            )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_slices_fill_the_buckets_evenly(spark):
+    for n, each in ((1, 8), (3, 3), (100, 1)):
+        numbers = sources.slices(spark, n, each)
+        dealt = spark.createDataFrame([(i,) for i in numbers], "s bigint").selectExpr(f"pmod(hash(s), {n}) AS b")
+        assert [r["count"] for r in dealt.groupBy("b").count().collect()] == [each] * n
+
+
+def test_stored_keys_have_no_dictionaries(spark, tables_dir, tmp_path):
+    """Keys in order take a byte or two: their differences, not a dictionary and its numbers."""
+    rows = spark.range(0, 600_000, 3, 1).selectExpr("id div 12 AS k", "id * 7919 % 600000 AS part", "'x' AS s")
+    rows.write.option("compression", "zstd").parquet(str(tmp_path / "plain"))
+    rows.write.options(**sources.packed(rows)).parquet(str(tmp_path / "packed"))
+    size = lambda d: sum(p.stat().st_size for p in (tmp_path / d).glob("part-*"))
+    assert size("packed") < 0.9 * size("plain")
+    assert spark.read.parquet(str(tmp_path / "packed")).exceptAll(rows).count() == 0
